@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import jaccard_join, maxscore, packing, secrets, sentencepiece_scan, token_counts, warc
+from namewright.llm import jaccard_join, maxscore, multi_index, packing, secrets, sentencepiece_scan, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 OP4_SQL = """
 WITH q AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
+    "op10_multi_index": op10_multi_index,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_maxscore": OP4_SQL, "op8_warc": OP8_SQL}
