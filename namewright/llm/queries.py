@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import jaccard_join, maxscore, multi_index, packing, secrets, sentencepiece_scan, token_counts, warc
+from namewright.llm import jaccard_join, langid, maxscore, multi_index, packing, secrets, sentencepiece_scan, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    found = langid.identify(docs.withColumn("held_out", langid.held_out()), model, keep_columns=("held_out",))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
+    "op9_language_id": op9_language_id,
     "op10_multi_index": op10_multi_index,
 }
 
