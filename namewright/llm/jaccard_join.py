@@ -12,7 +12,9 @@ A region is joined around a document of its own: distances to that pivot are ver
 texts within t of it need no comparison with each other to be known as connected.  What is still
 apart is joined recursively: texts of a region in different classes, in blocks, by further pivots and
 their windows where these shrink the work, otherwise pair by pair as a matrix
-product inside the task.  No pairs of a group are ever written out, and nothing is capped.
+product inside the task, which writes links only.  Small regions (``FEW``) compare what differs in class
+directly.  Before two sets are compared, a coarser metric that never exceeds theirs (bucket counts) rules
+most pairs out.  Nothing is capped.
 
 Equal sets are one node from the start; membership returns them at the end.
 
@@ -42,6 +44,10 @@ FILTER_BITS = 25
 HOT = 1 << 20
 #: Shingles, and documents, of a block of a region.
 BLOCK_SHINGLES, BLOCK_DOCS = 1 << 20, 1024
+#: Buckets of the counts that rule pairs out before their sets are compared.
+BUCKETS = 256
+#: Texts of a smaller region that are still apart are compared pair by pair, each with at most this many others.
+FEW = 64
 
 
 def need(n: int, percent: int) -> int:
@@ -49,10 +55,6 @@ def need(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def linked(shared: F.Column, a: F.Column, b: F.Column, percent: int) -> F.Column:
-    return 100 * shared >= percent * (a + b - shared)
-
-
 def sizes_fit(a: F.Column, b: F.Column, percent: int) -> F.Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -125,19 +127,21 @@ def merged_sketch(parts: DataFrame):
 
 
 def windows(docs: DataFrame, sketch, width: int, percent: int, partitions: int) -> DataFrame:
-    """(region, node, n): the members of every region of two or more nodes."""
+    """(region, node): the members of every region of two or more nodes."""
+    import numpy as np
+
 
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     buckets = 4 * partitions
+    # The upper 48 bits of a shingle and a node: 14 bytes.
+    kind = np.dtype([("high", "<u4"), ("low", "<u2"), ("node", "<u8")])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         from namewright.llm.shingles import BASE, fingerprint, mix, shingle_sets
 
         counts, seen = shared.value, set()
         for batch in slices(batches):
-            keys, nodes, sizes = [], [], []
+            keys, nodes = [], []
             for s in shingle_sets(batch.column("text"), width):
                 if not len(s) or (mark := fingerprint(s)) in seen:
                     continue
@@ -146,12 +150,11 @@ def windows(docs: DataFrame, sketch, width: int, percent: int, partitions: int)
                 order = np.lexsort((s, counts[s >> np.uint64(64 - SKETCH_BITS)]))[:window]
                 keys.append(s[order])
                 nodes.append(np.full(window, np.frombuffer(mark[:8], np.uint64)[0]))
-                sizes.append(np.full(window, len(s), np.uint32))
             if not keys:
                 continue
             key, node = np.concatenate(keys), np.concatenate(nodes)
-            rows = np.zeros(len(key), np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4")]))
-            rows["key"], rows["node"], rows["n"] = key, node, np.concatenate(sizes)
+            rows = np.zeros(len(key), kind)
+            rows["high"], rows["low"], rows["node"] = key >> np.uint64(32), (key >> np.uint64(16)) & np.uint64(0xFFFF), node
             salts = counts[key >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) // np.uint64(HOT) + np.uint64(1)
             bucket = (mix(key + (node % salts) * BASE) % np.uint64(buckets)).astype(np.int64)
             rows = rows[np.argsort(bucket, kind="stable")]
@@ -160,24 +163,23 @@ def windows(docs: DataFrame, sketch, width: int, percent: int, partitions: int)
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in parts], pa.int32()), pa.array([p[1] for p in parts], pa.binary())], ["bucket", "rows"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         from namewright.llm.shingles import mix
 
-        kind = np.dtype([("key", "<u8"), ("node", "<u8"), ("n", "<u4")])
         parts = [np.frombuffer(raw, kind) for batch in batches for raw in batch.column("rows").to_pylist()]
         if not parts:
             return
         rows = np.concatenate(parts)
         parts.clear()
-        rows = rows[np.lexsort((rows["node"], rows["key"]))]
-        same_key = np.append(False, rows["key"][1:] == rows["key"][:-1])
-        rows = rows[~(same_key & np.append(False, rows["node"][1:] == rows["node"][:-1]))]
-        begin = np.flatnonzero(np.append(True, rows["key"][1:] != rows["key"][:-1]))
-        count = np.diff(np.append(begin, len(rows)))
-        hot = shared.value[rows["key"][begin] >> np.uint64(64 - SKETCH_BITS)] >= HOT
+        key, node = (rows["high"].astype(np.uint64) << np.uint64(32)) | (rows["low"].astype(np.uint64) << np.uint64(16)), rows["node"]
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        once = ~np.append(False, (key[1:] == key[:-1]) & (node[1:] == node[:-1]))
+        key, node = key[once], node[once]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        count = np.diff(np.append(begin, len(key)))
+        hot = shared.value[key[begin] >> np.uint64(64 - SKETCH_BITS)] >= HOT
         # Regions of the same members are one; a region that is dealt over tasks goes by its key.
-        name = np.where(hot, mix(rows["key"][begin]), mix(np.add.reduceat(mix(rows["node"]), begin) + count.astype(np.uint64)))
+        name = np.where(hot, mix(key[begin]), mix(np.add.reduceat(mix(node), begin) + count.astype(np.uint64)))
         chosen = np.flatnonzero((count >= 2) | hot)
         _, once = np.unique(name[chosen], return_index=True)
         chosen = chosen[np.sort(once)]
@@ -185,29 +187,30 @@ def windows(docs: DataFrame, sketch, width: int, percent: int, partitions: int)
             part = chosen[at : at + 50_000]
             index = np.repeat(begin[part] - np.append(0, np.cumsum(count[part])[:-1]), count[part]) + np.arange(count[part].sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(name[part], count[part]).view(np.int64)), pa.array(rows["node"][index].view(np.int64)), pa.array(rows["n"][index].astype(np.int64))],
-                ["region", "node", "n"],
+                [pa.array(np.repeat(name[part], count[part]).view(np.int64)), pa.array(node[index].view(np.int64))], ["region", "node"]
             )
 
     dealt = docs.select("text").mapInArrow(deal, "bucket int, rows binary").repartition(partitions, "bucket")
-    return dealt.mapInArrow(gather, "region long, node long, n long")
+    return dealt.mapInArrow(gather, "region long, node long")
+
 
+def chosen_rows(docs: DataFrame, wanted: DataFrame, width: int, made, kind: str) -> DataFrame:
+    """(doc, value): ``made(set)`` of the documents in ``wanted``; a few others may come along.
+
+    A filter of fixed size tells each task which texts to look at, so no text is shuffled.
+    """
+    import numpy as np
 
-def needed_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(doc, s): the shingles of the documents in ``wanted`` (a few others may come along)."""
     bits = F.pmod(F.xxhash64("doc"), F.lit(1 << FILTER_BITS))
     words = wanted.select((bits / 32).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (bits % 32).cast("int")).alias("b"))
     # At most 2 ** (FILTER_BITS - 5) words whatever the number of documents.
     rows = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    import numpy as np
-
     filled = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
     if rows.num_rows:
-        filled[rows.column("w").to_numpy()] = rows.column("b").to_numpy().astype(np.int64).astype(np.uint32)
+        filled[rows.column("w").to_numpy()] = rows.column("b").to_numpy().astype(np.uint32)
     shared = docs.sparkSession.sparkContext.broadcast(filled)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import pyarrow.compute as pc
 
         from namewright.llm.shingles import shingle_sets
@@ -217,13 +220,75 @@ def needed_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             hit = (shared.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
             part = batch.filter(pa.array(hit & pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)))
             if part.num_rows:
-                sets = list(shingle_sets(part.column("text"), width))
-                ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
-                flat = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc", "s"])
+                values = [made(s) for s in shingle_sets(part.column("text"), width)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(values, pa.binary())], ["doc", "value"])
 
     rows = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("bit"))
-    return rows.mapInArrow(work, "doc long, s array<long>")
+    return rows.mapInArrow(work, f"doc long, value {kind}")
+
+
+def packed(shingles) -> bytes:
+    """Forty bits of each shingle.  Within a pair of sets of n shingles two differ only there with probability n * n / 2**40, and
+    one match too many matters only at the very threshold.
+    """
+    import numpy as np
+
+    return np.ascontiguousarray(shingles.view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+
+
+def unpacked(raw: bytes):
+    import numpy as np
+
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
+def counted(shingles) -> bytes | None:
+    """How many shingles fall into each of ``BUCKETS`` buckets, or None if a count is too large to hold.
+
+    The Jaccard similarity of two such multisets (sum of least over sum of greatest counts) is never below that
+    of the sets: merging elements can only bring sets closer.
+    """
+    import numpy as np
+
+    counts = np.bincount((shingles & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return counts.astype("<u2").tobytes() if counts.max(initial=0) < 1 << 16 else None
+
+
+def tested(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
+    """The (doc, other) pairs whose two values pass ``test``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [test(a, b) for a, b in zip(batch.column("value").to_pylist(), batch.column("value2").to_pylist(), strict=True)]
+            yield batch.filter(pa.array(good, pa.bool_())).select(["doc", "other"])
+
+    both = pairs.join(values, "doc").join(values.select(F.col("doc").alias("other"), F.col("value").alias("value2")), "other")
+    return both.select("doc", "other", "value", "value2").mapInArrow(work, "doc long, other long")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, counts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` as a kept table (a, b): bucket counts first, then the sets."""
+    import numpy as np
+
+    def possible(a, b) -> bool:
+        if a is None or b is None:
+            return True
+        x, y = np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<u2").astype(np.int64)
+        return 100 * np.minimum(x, y).sum() >= percent * np.maximum(x, y).sum()
+
+    def exact(a: bytes, b: bytes) -> bool:
+        shared = len(np.intersect1d(unpacked(a), unpacked(b)))
+        return 100 * shared >= percent * ((len(a) + len(b)) // 5 - shared)
+
+    close = keep(tested(pairs, counts, possible))
+    wanted = close.select(F.explode(F.array("doc", "other")).alias("doc")).distinct()
+    sets = keep(chosen_rows(docs, wanted, width, packed, "binary"))
+    links = keep(tested(close, sets, exact).select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct())
+    drop(sets)
+    drop(close)
+    return links
 
 
 def region_links(arrays: list, labels, percent: int, left=None) -> list[tuple[int, int]]:
@@ -310,45 +375,51 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     full = own.where("n > 0 and doc_id is not null")
     reps = keep(full.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("node").alias("node"), F.first("n").alias("n")))
     total = reps.agg(F.sum("n")).first()[0] or 0
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 5 * 20 / (24 << 20)))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 5 * 14 / (24 << 20)))
     regions = windows(docs, sketch, width, percent, partitions)
-    members = keep(regions.join(reps.select("node", "doc"), "node").select("region", "doc", "n").distinct())
+    members = keep(regions.join(reps.select("node", "doc", "n"), "node").select("region", "doc", "n").distinct())
+    heads = members.groupBy("region").agg(F.min(F.struct("doc", "n")).alias("head"), F.count("*").alias("m"))
+    heads = keep(heads.where("m > 1").select("region", F.col("head.doc").alias("other"), F.col("head.n").alias("other_n"), "m"))
+    counts = keep(chosen_rows(docs, members.join(heads, "region", "left_semi").select("doc").distinct(), width, counted, "binary"))
 
     # Round 1: each region around one of its documents.
-    heads = members.groupBy("region").agg(F.min(F.struct("doc", "n")).alias("head"), F.count("*").alias("m"))
-    heads = keep(heads.where("m > 1").select("region", F.col("head.doc").alias("pivot"), F.col("head.n").alias("pivot_n"), "m"))
-    spokes = members.join(heads, "region").where(F.col("doc") != F.col("pivot"))
-    spokes = keep(spokes.where(sizes_fit(F.col("n"), F.col("pivot_n"), percent)).select("doc", "pivot").distinct())
-    several = members.join(heads.where("m > 2").select("region", "m"), "region")
-    wanted = spokes.select(F.explode(F.array("doc", "pivot")).alias("doc")).union(several.select("doc")).distinct()
-    sets = keep(needed_sets(docs, wanted, width).join(reps.select("doc"), "doc", "left_semi"))
-    pairs = spokes.join(sets, "doc").join(sets.select(F.col("doc").alias("pivot"), F.col("s").alias("t")), "pivot")
-    shared = F.size(F.array_intersect("s", "t"))
-    links = keep(pairs.where(linked(shared, F.size("s"), F.size("t"), percent)).select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
+    spokes = members.join(heads, "region").where(F.col("doc") != F.col("other")).where(sizes_fit(F.col("n"), F.col("other_n"), percent))
+    links = verified(docs, spokes.select("doc", "other").distinct(), counts, width, percent)
     labels = components(links)
 
     # Round 2: what is still apart in regions of three and more.
-    apart = several.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("region", "doc", "n", F.coalesce("label", "doc").alias("label"))
-    state = apart.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("all_n"))
+    several = members.join(heads.where("m > 2").select("region", "m"), "region")
+    apart = several.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("region", "m", "doc", "n", F.coalesce("label", "doc").alias("label"))
+    apart = keep(apart)
+    state = apart.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("m").alias("m"), F.sum("n").alias("all_n"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("all_n") / BLOCK_SHINGLES)).cast("int")
     state = keep(state.where("lo < hi").select("region", blocks.alias("blocks")))
-    apart = apart.join(state, "region").withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    apart = apart.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("left"), "doc", "label")
+    apart = apart.join(state, "region")
+    few = apart.where(F.col("m") <= FEW).select("region", "doc", "n", "label")
+    x, y = few.alias("x"), few.alias("y")
+    differ = (F.col("x.region") == F.col("y.region")) & (F.col("x.doc") > F.col("y.doc")) & (F.col("x.label") != F.col("y.label"))
+    crossing = x.join(y, differ & sizes_fit(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.doc").alias("doc"), F.col("y.doc").alias("other")).distinct()
+    links = links.unionByName(verified(docs, crossing, counts, width, percent))
+
+    many = apart.where(F.col("m") > FEW).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+    many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = keep(many.select("region", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), (F.col("block") <= F.col("with")).alias("left"), "doc", "label"))
 
     def join(table: pa.Table) -> pa.Table:
         import numpy as np
 
         docs, labels = table.column("doc").to_numpy(), table.column("label").to_numpy()
-        arrays = [x.values.to_numpy().view(np.uint64) for x in table.column("s")]
-        left = table.column("left").to_numpy() if table.column("i")[0] != table.column("j")[0] else None
+        arrays = [unpacked(raw) for raw in table.column("value").to_pylist()]
+        left = table.column("left").to_numpy(zero_copy_only=False) if table.column("i")[0] != table.column("j")[0] else None
         found = region_links(arrays, labels, percent, left)
-        return pa.table({"a": pa.array([docs[i] for i, _ in found], pa.int64()), "b": pa.array([docs[j] for _, j in found], pa.int64())})
+        return pa.table({"a": pa.array(np.array([docs[i] for i, _ in found], np.int64)), "b": pa.array(np.array([docs[j] for _, j in found], np.int64))})
 
-    more = apart.join(sets, "doc").groupBy("region", "i", "j").applyInArrow(join, "a long, b long")
+    sets = keep(chosen_rows(docs, many.select("doc").distinct(), width, packed, "binary"))
+    more = many.join(sets, "doc").groupBy("region", "i", "j").applyInArrow(join, "a long, b long")
     links = links.unionByName(keep(more.distinct()))
     labels = components(links)
-    drop(sets)
+    for table in (sets, counts, many, apart):
+        drop(table)
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
     return own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
