@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namewright.llm import jaccard_join, langid, maxscore, multi_index, packing, secrets, sentencepiece_scan, token_counts, warc
+from namewright.llm import jaccard_join, langid, maxscore, multi_index, packing, pii, secrets, sentencepiece_scan, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_personal_data(table(spark, sf_dir, "documents")), pii.BASE)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
     "op4_maxscore": op4_maxscore,
+    "op5_pii": op5_pii,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
