@@ -116,7 +116,7 @@ def encode_documents(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram.load(path)
         for batch in slices(batches):
-            made = [model.encode(model.normal(t or "")) for t in batch.column("text").to_pylist()]
+            made = model.encode_texts([model.normal(t or "") for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([m[1] for m in made], pa.binary()), pa.array([m[0] for m in made], pa.int64())],
                 ["doc_id", "ids", "score"],
