@@ -31,6 +31,8 @@ from namewright.llm.crf import Trainer, gathered, marginals, scattered
 
 UNKNOWN = "und"
 BITS = 17
+#: Text bytes whose words are scored at a time; the features of their distinct words take about a hundred times as much.
+PART_BYTES = 1 << 20
 
 _letters: list[np.ndarray] = []
 
@@ -206,16 +208,19 @@ def train(
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_columns: tuple[str, ...] = ()) -> DataFrame:
     """Per row: ``doc_id``, ``lang_pred`` and ``score``, with ``keep_columns`` of the input in front."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep_columns, F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
+    # The text travels once, also where it is kept.
+    column = text_col if text_col in keep_columns else "__text"
+    text = [] if text_col in keep_columns else [F.col(text_col).alias("__text")]
+    rows = docs.select(*keep_columns, F.col(id_col).cast("long").alias("__id"), *text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
         model = shared.value
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, column, PART_BYTES):
             n = batch.num_rows
             best, score = np.full(n, -1), np.zeros(n)
-            lists = pc.utf8_split_whitespace(pc.fill_null(batch.column("__text"), ""))
+            lists = pc.utf8_split_whitespace(pc.fill_null(batch.column(column), ""))
             owner = np.repeat(np.arange(n), pc.list_value_length(lists).to_numpy())
             coded = pc.dictionary_encode(lists.flatten())
             words = coded.dictionary.to_pylist()
