@@ -36,6 +36,8 @@ from namewright.llm.batches import slices
 from namewright.llm.components import components
 from namewright.llm.storage import drop, keep
 
+#: Text bytes shingled at a time; the arrays for them take about fifty times as much.
+PART_BYTES = 2 << 20
 #: Counters of the rank sketch, and rows in which they travel.  16 MB whatever the input.
 SKETCH_BITS, PARTS = 22, 64
 #: Bits of the filter that tells which sets later steps need.  4 MB whatever the input.
@@ -72,7 +74,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         seen: set[bytes] = set()
-        for batch in slices(batches):
+        for batch in slices(batches, "text", PART_BYTES):
             sizes, marks, fresh = [], [], []
             for s in shingle_sets(batch.column("text"), width):
                 mark = fingerprint(s) if len(s) else None
@@ -140,7 +142,7 @@ def windows(docs: DataFrame, sketch, width: int, percent: int, partitions: int)
         from namewright.llm.shingles import BASE, fingerprint, mix, shingle_sets
 
         counts, seen = shared.value, set()
-        for batch in slices(batches):
+        for batch in slices(batches, "text", PART_BYTES):
             keys, nodes = [], []
             for s in shingle_sets(batch.column("text"), width):
                 if not len(s) or (mark := fingerprint(s)) in seen:
@@ -215,7 +217,7 @@ def chosen_rows(docs: DataFrame, wanted: DataFrame, width: int, made, kind: str)
 
         from namewright.llm.shingles import shingle_sets
 
-        for batch in slices(batches):
+        for batch in slices(batches, "text", PART_BYTES):
             bit = batch.column("bit").to_numpy()
             hit = (shared.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
             part = batch.filter(pa.array(hit & pc.is_valid(batch.column("doc_id")).to_numpy(zero_copy_only=False)))
@@ -422,4 +424,5 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
         drop(table)
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
-    return own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
