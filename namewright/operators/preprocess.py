@@ -30,8 +30,12 @@ def preprocess(rows: DataFrame, settings: Settings, source_sha256: str = "0" * 6
 
 
 def checked(df: DataFrame, wrong: Column, message: Column) -> DataFrame:
-    """``df``, failing at the first row for which ``wrong`` holds."""
-    flag = F.when(F.coalesce(wrong, F.lit(False)), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    """``df``, failing at the first row for which ``wrong`` holds.
+
+    The partition id makes the condition non-deterministic, so the optimizer moves no later filter below it: such a filter
+    could drop the very rows that have to fail, or turn an outer join into an inner one.
+    """
+    flag = F.when(F.coalesce(wrong, F.lit(False)), F.raise_error(message).cast("boolean")).otherwise(F.spark_partition_id() >= 0)
     return df.where(flag)
 
 
