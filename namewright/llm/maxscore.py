@@ -63,7 +63,7 @@ class Shard:
         seeds = np.arange(self.n) if self.n <= 4 * k else np.unique(np.concatenate([np.argpartition(-np.sign(q[d]) * self.matrix[:, d], 2 * k)[: 2 * k] for d in order[:6]] or [np.arange(4 * k)]))
         first = (self.matrix[seeds] @ q)[~own[seeds]]
         threshold = np.partition(first, len(first) - k)[len(first) - k] if len(first) >= k else -math.inf
-        essential = int(np.searchsorted(-after, -threshold, side="right"))  # terms from here on stay below the threshold together
+        essential = min(len(order), int(np.searchsorted(-after, -threshold, side="right")))  # terms from here on stay below the threshold together
         total = np.zeros(self.n, self.matrix.dtype)
         touched = np.zeros(self.n, bool)
         for d in order[:essential]:

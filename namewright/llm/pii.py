@@ -32,6 +32,7 @@ MODEL = ("person", "ssn", "iban")
 KINDS = (*BASE, *MODEL)
 LABELS = ("O", *(f"{p}-{k}" for k in MODEL for p in "BI"))
 SPANS = "array<struct<kind string, start long, end long, value string>>"
+PERSON = LABELS.index("B-person")
 REACH = 6
 
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -96,6 +97,12 @@ LABELLED = (
     "It was 1234567890 and 42 in all .",
     "Licensed under the Apache License , Version 2.0 .",
     "All Rights Reserved . Copyright 2020 The Authors .",
+    "Dr. {person Alan Grant} came . The Next Line Is Clean .",
+    "Mrs. {person Ruth Bell} left . Every Word Here Is Fine .",
+    "A Clean Line Here . Mr. {person Carl Hunt} signed .",
+    "Then She Said No . Contact {person Lily Snow} now .",
+    "ssn: {ssn 219-09-9998} , said no . A Quiet Street There .",
+    "An Old House Stood . IBAN {iban DE89370400440532013001} . The End Came Soon .",
 )
 
 Span = tuple[int, int, str]  # start, end, kind
@@ -232,6 +239,9 @@ class Tagger:
                 scores[row, 1 : len(c)] += sums[1][c[:-1]]
                 scores[row, : len(c) - 1] += sums[2][c[1:]]
                 mask[row, : len(c)] = True
+                # A person's name follows a cue word.
+                cue = [False] + [is_cue(w) for w in chains[i][:-1]]
+                scores[row, : len(c), PERSON][~np.array(cue[: len(c)], bool)] = -1e9
             best = viterbi(scores, mask, self.change)
             for row, i in enumerate(part):
                 out[i] = [LABELS[k] for k in best[row, : len(chains[i])]]

@@ -124,6 +124,7 @@ def encode_documents(
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Chunks of giant documents, each with what may follow a piece that begins in it."""
+        kinds = pa.schema([("row", pa.string()), ("doc_id", pa.int64()), ("k", pa.int32()), ("n", pa.int32()), ("final", pa.bool_()), ("part", pa.string())])
         model = unigram.load(path)
         chunk = max(chunk_chars, model.longest)
         for batch in slices(batches):
@@ -132,7 +133,7 @@ def encode_documents(
                 for k, at in enumerate(range(0, len(text), chunk)):
                     part = text[at : at + chunk + model.longest - 1]
                     n = min(chunk, len(text) - at)
-                    yield pa.RecordBatch.from_pylist([{"row": row, "doc_id": doc, "k": k, "n": n, "final": at + n == len(text), "part": part}])
+                    yield pa.RecordBatch.from_pylist([{"row": row, "doc_id": doc, "k": k, "n": n, "final": at + n == len(text), "part": part}], kinds)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram.load(path)

@@ -1,0 +1,309 @@
+"""Packing, tokenizers, secrets, personal data and language ID against plain versions."""
+
+import base64
+import itertools
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from namewright.llm import crf, langid, packing, pii, queries, secrets, sentencepiece_scan, token_counts, unigram
+
+TEXTS = [None, "", " ", "\n", "hello world", "hello world", "a" * 5000, "ñandú — 日本語 🙂 " * 300, "word " * 3000, "x <|endoftext|> y", "tail  spaces   ", "1.2.3.4 +1 (743) 555-3824"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "src", len(t or "")) for i, t in enumerate(TEXTS)] + [(None, "no id", "en", "src", 5), (4, "hello world", "en", "src", 11)]
+    return spark.createDataFrame(rows, "doc_id long, text string, ids string, start string, spans long").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+# ---- packing
+
+
+def test_packing_holds_every_id_once(docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer()[0])
+    rows = packing.pack_documents(docs, capacity=256, smallest_cut=32).collect()
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        ids = list(np.frombuffer(r.ids, "<u4"))
+        assert len(ids) == r.length
+        by_doc.setdefault(r.doc_id, []).append((r.start, ids, r.doc_tokens))
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length, r.padded_to))
+    for doc, text in [*enumerate(TEXTS), (None, "no id")]:
+        if doc == 4:
+            continue  # twice
+        expected = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        got = [i for _, ids, _ in sorted(by_doc[doc]) for i in ids]
+        assert got == expected and {n for _, _, n in by_doc[doc]} == {len(expected)}
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length, padded in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 256 and padded == (at if at & (at - 1) == 0 else 256)
+
+
+def test_packing_wastes_little():
+    rng = random.Random(0)
+    bins, full = packing.HarmonicBins(2048), []
+    total = 0
+    for doc in range(3000):
+        n = rng.randint(1, 5000)
+        total += n
+        for size in packing.cut_lengths(n, 2048, 128):
+            if done := bins.add((doc, 0, np.zeros(size, "<u4"), n)):
+                full.append(done)
+    full += list(bins.rest())
+    sizes = [sum(len(p[2]) for p in s) for s in full]
+    assert sum(sizes) == total
+    padded = sum(s if s & (s - 1) == 0 else 2048 for s in sizes)
+    assert padded / total < 1.01
+
+
+def test_packing_of_nothing(empty):
+    assert packing.pack_documents(empty).count() == 0
+    with pytest.raises(ValueError, match="power of two"):
+        packing.pack_documents(empty, capacity=100)
+
+
+# ---- sentence pieces
+
+
+@pytest.fixture(scope="module")
+def model():
+    return unigram.load(sentencepiece_scan.default_model())
+
+
+@pytest.fixture(scope="module")
+def library(model):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model.as_library_model(sentencepiece_scan.default_model()))
+
+
+def random_texts(n, size=60):
+    rng = random.Random(1)
+    parts = ["a", "b", " ", "th", "ing", "é", "\n", "日", "  ", "er", "the ", "1", "🙂"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(0, size))) for _ in range(n)]
+
+
+def ids_of(raw):
+    return [i for (i,) in struct.iter_unpack("<I", raw)]
+
+
+def test_encoder_equals_the_library(model, library):
+    for text in random_texts(300):
+        score, raw = model.encode(model.normal(text))
+        assert ids_of(raw) == library.encode(text)
+        assert sentencepiece_scan.path_score(raw, model) == score
+
+
+def test_many_at_once_equals_one_by_one(model):
+    texts = [model.normal(t) for t in random_texts(200)]
+    assert model.encode_texts(texts) == [model.encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("chunk", [16, 23, 64])
+def test_scan_equals_one_pass(model, chunk):
+    for text in random_texts(60, 120):
+        text = model.normal(text)
+        expected = model.encode(text)
+        at, matrices, made = [0] + [unigram.LOW] * (model.longest - 1), [], []
+        for k in range(0, len(text), chunk):
+            part, n = text[k : k + chunk + model.longest - 1], min(chunk, len(text) - k)
+            made.append(sentencepiece_scan.paths(part, n, at, k + n == len(text), model))
+            matrices.append(sentencepiece_scan.transfer(part, n, model))
+            at = sentencepiece_scan.times(at, matrices[-1])
+        state, parts = 0, []
+        for paths in reversed(made):
+            _, state, ids = next(p for p in paths if p[0] == state)
+            parts.append(ids)
+        assert b"".join(reversed(parts)) == expected[1]
+        if len(matrices) > 2:
+            left = sentencepiece_scan.product(sentencepiece_scan.product(matrices[0], matrices[1]), matrices[2])
+            right = sentencepiece_scan.product(matrices[0], sentencepiece_scan.product(matrices[1], matrices[2]))
+            assert left == right
+
+
+def test_documents_and_giants(docs, model):
+    whole = {(r.doc_id, r.ids, r.score) for r in sentencepiece_scan.encode_documents(docs).collect()}
+    dealt = sentencepiece_scan.encode_documents(docs, giant_chars=100, chunk_chars=64)
+    assert {(r.doc_id, r.ids, r.score) for r in dealt.collect()} == whole
+    back = {r.doc_id: r.decoded for r in sentencepiece_scan.decode_ids(dealt).collect()}
+    assert all(back[i] == (t or "") for i, t in enumerate(TEXTS))
+
+
+def test_pieces_of_nothing(empty):
+    assert sentencepiece_scan.decode_ids(sentencepiece_scan.encode_documents(empty)).count() == 0
+    assert token_counts.count_tokens(empty).count() == 0
+
+
+def test_counts_equal_the_encoder(docs, model, library):
+    counts = token_counts.count_tokens(docs).collect()
+    for r in counts:
+        if r.doc_id is not None:
+            score, raw = model.encode(model.normal(TEXTS[r.doc_id] or ""))
+            assert (r.n_tokens, r.score) == (len(raw) // 4, score)
+            assert r.n_tokens == len(library.encode(TEXTS[r.doc_id] or ""))
+    automaton = token_counts.piece_automaton(model)
+    for text in random_texts(100):
+        text = model.normal(text)
+        score, raw = model.encode(text)
+        assert not text or token_counts.count_segment(text, automaton, model.unknown) == (score, len(raw) // 4)
+
+
+# ---- secrets
+
+ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def plain_secrets(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
+
+
+def test_secrets_against_plain_patterns():
+    rng, automaton = random.Random(2), secrets.keyword_automaton()
+    parts = ["password", "PassWd", "secret", "token", "api_key", "apikey", "=", ": ", ' = "', "abc123DEF456", "deadbeef", "AKIA", "ABCD1234EFGH5678", " ", "é", "'", "0123456789abcdef", "ſecret", "toKen"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 10)))
+        found = [(a, secrets.KINDS.index(k), b) for k, a, b, _ in secrets.scan(text, automaton) if k in secrets.BASE]
+        assert found == plain_secrets(text), text
+
+
+def test_checksums():
+    automaton = secrets.keyword_automaton()
+    body = b"A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"
+    good = "ghp_" + body.decode() + secrets.base62(zlib.crc32(body))
+    assert [k for k, *_ in secrets.scan(f"é use {good}.", automaton)] == ["checked"]
+    assert not secrets.scan(f"use {good[:-1]}{'a' if good[-1] != 'a' else 'b'}", automaton)
+    assert secrets.scan(f"é use {good}.", automaton)[0][1:3] == (6, 46)
+
+
+def test_secret_tables(spark, docs, empty):
+    assert {r.doc_id: len(r.spans) for r in secrets.find_secrets(docs).collect()}[6] == 1
+    assert secrets.find_secrets(empty).count() == 0
+    rows = [(1, "é token = 0123456789abcdefgh x", "en", "s", 30), (2, None, "en", "s", None), (3, "clean", None, None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in secrets.redact_secrets(df).collect()}
+    assert out[1].text == "é [SECRET] x" and out[1].n_chars == 12 and out[2].text is None and out[3].text == "clean"
+
+
+# ---- personal data
+
+
+def plain_personal(text):
+    out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append((m.start(), m.end(), "card"))
+    out += [(m.start(), m.end(), "phone") for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out, key=lambda s: (s[0], pii.KINDS.index(s[2])))
+
+
+def test_base_spans_against_plain_patterns():
+    rng = random.Random(0)
+    parts = ["a", "@", "b.c", ".", "-", "+", "1", "23", " ", "(", "4111111111111111", "é", "255.1.2", "0", "%", "\n"]
+    for _ in range(30_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert pii.base_spans(text) == plain_personal(text), text
+
+
+def test_long_runs_are_linear():
+    assert pii.base_spans("1" * 300_000) == [] and pii.base_spans("a" * 300_000 + "@") == [] and pii.base_spans("+1" + "(" * 300_000) == []
+
+
+def test_tagger_learns_its_table():
+    tagger = pii.train()
+    chains = [pii.parse_labelled(x) for x in pii.LABELLED]
+    assert tagger.label([w for w, _ in chains]) == [x for _, x in chains]
+    text = "She wrote. Dr. Anna Berg, SSN 512-44-8211, said no. A Clean Line Here."
+    spans = [(text[a:b], k) for a, b, k in pii.all_spans([text], tagger)[0]]
+    assert ("Anna Berg", "person") in spans and ("512-44-8211", "ssn") in spans and len(spans) == 2
+    assert pii.all_spans(["The House of Lords Met Again .", None, ""], tagger) == [[], [], []]
+
+
+def test_personal_tables(docs, empty):
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+    assert [s.kind for s in found[11]] == ["ip", "phone"] and found[0] == []
+    assert pii.find_personal_data(empty).count() == 0
+
+
+# ---- the models
+
+
+def all_paths(scores, change):
+    n, labels = scores.shape
+    out = {}
+    for path in itertools.product(range(labels), repeat=n):
+        out[path] = sum(scores[t, k] for t, k in enumerate(path)) + sum(change[a, b] for a, b in itertools.pairwise(path))
+    return out
+
+
+def test_chains_against_enumeration():
+    rng = np.random.default_rng(0)
+    scores, change = rng.normal(size=(3, 5, 3)), rng.normal(size=(3, 3))
+    mask = np.arange(5) < np.array([[5], [3], [1]])
+    p, expected = crf.marginals(scores, mask, change)
+    best = crf.viterbi(scores, mask, change)
+    total = np.zeros((3, 3))
+    for i, n in enumerate([5, 3, 1]):
+        paths = all_paths(scores[i, :n], change)
+        z = sum(np.exp(v) for v in paths.values())
+        assert tuple(best[i, :n]) == max(paths, key=paths.get)
+        for t in range(n):
+            for k in range(3):
+                assert np.isclose(p[i, t, k], sum(np.exp(v) for q, v in paths.items() if q[t] == k) / z)
+        for q, v in paths.items():
+            for a, b in itertools.pairwise(q):
+                total[a, b] += np.exp(v) / z
+    assert np.allclose(total, expected)
+
+
+def test_language_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = queries.op9_language_id(spark, "/root/testdata/sf0.001").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    right, n = rows.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert right / n > 0.95 and rows.where("score < 0 or score > 1").count() == 0
+
+
+def test_code_switched_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs)
+    words = model.label_words("the that of and 42 les pour elle des queles der und den schen")
+    assert [k for _, k, _ in words[:4]] == ["en"] * 4 and [k for _, k, _ in words[5:8]] == ["fr"] * 3
+
+
+def test_language_of_odd_texts(spark, docs, empty):
+    model = langid.train(docs.withColumn("lang", F.lit("en")))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert found[0] == ("und", 0) and found[3] == ("und", 0) and found[6][0] == "en"
+    nothing = langid.train(empty.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
+    assert langid.identify(empty, model).count() == 0
+
+
+def test_tiktoken_and_tokenizers_agree():
+    import public_tokenizers
+
+    encode = packing.token_encoder(*packing.default_tokenizer())
+    plain = packing.token_encoder(public_tokenizers.path("byte_bpe_50k.json"), None)
+    for text in [t for t in TEXTS if t] + random_texts(200):
+        assert encode(text) == plain(text)
+    assert base64.b64decode("YQ==") == b"a"
