@@ -13,6 +13,7 @@ from namewright.config import GENERIC_TOKENS, Settings
 from namewright.functions.pairs import truncation_side
 from namewright.functions.text import tokens
 from namewright.functions.typing import words
+from namewright.operators.graph import kept
 
 ALPHA = r"^\p{L}+\z"
 STRUCTURAL = (
@@ -139,19 +140,18 @@ def orthographic(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, sett
     gate = F.lit(None).cast("string")
     for condition, name in reversed(gates):
         gate = F.when(condition, name).otherwise(gate)
-    df = df.withColumns({"gate": gate, "context": context, "at": at, "kind": kind, "place": place})
-    signature = F.array_join(F.transform("core_a", lambda t, k: F.when(k == F.col("at"), "<DIFF>").otherwise(t)), " ")
-    df = df.withColumn("context_signature", F.when(F.col("gate").isNull(), signature))
+    signature = F.array_join(F.transform("core_a", lambda t, k: F.when(k == at, "<DIFF>").otherwise(t)), " ")
+    df = df.select(*pairs.columns, "x", "y", gate.alias("gate"), context.alias("context"), kind.alias("kind"), place.alias("place"), signature.alias("context_signature"))
+    # Few pairs pass the gates.  Only those are compared with the populations; all others have their answer.
+    gated = kept(df.withColumns({c: F.when(F.col("gate").isNull(), F.col(c)) for c in ("context", "context_signature")}))
+    passed = gated.where("gate is null")
 
     cores = employer_cores(keys, eligibility, settings)
     support = token_support(cores)
-    variants = context_variants(cores, df.where("gate is null"))
-    rare = (
-        df.where("gate is null").select("key_a", "key_b", F.explode("context").alias("token")).join(support, "token").groupBy("key_a", "key_b").agg(F.min("support").alias("rarest"))
-    )
-    df = df.join(rare, ["key_a", "key_b"], "left").join(variants, "context_signature", "left")
+    rare = passed.select("key_a", "key_b", F.explode("context").alias("token")).join(support, "token").groupBy("key_a", "key_b").agg(F.min("support").alias("rarest"))
+    passed = passed.join(rare, ["key_a", "key_b"], "left").join(context_variants(cores, passed), "context_signature", "left")
     for s, token in (("a", "x"), ("b", "y")):
-        df = df.join(support.select(F.col("token").alias(token), F.col("support").alias(f"token_support_{s}")), token, "left")
+        passed = passed.join(support.select(F.col("token").alias(token), F.col("support").alias(f"token_support_{s}")), token, "left")
     limit = limits.maximum_token_frequency
     later = (
         (F.col("place") == "end", "terminal_edit_requires_further_resolution"),
@@ -163,22 +163,26 @@ def orthographic(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, sett
     evidence = F.lit(strong)
     for condition, name in reversed(later):
         evidence = F.when(condition, name).otherwise(evidence)
-    evidence = F.coalesce("gate", evidence)
-    eligible = evidence != "not_both_employer_candidate"
-    traced, edited = F.col("gate").isNull(), F.col("gate").isNull() | (F.col("gate") == "no_exact_informative_context")
+    passed = passed.select(*gated.columns, evidence.alias("evidence"), "context_variant_count", "token_support_a", "token_support_b")
+    closed = gated.where("gate is not null").withColumns(
+        {"evidence": F.col("gate"), "context_variant_count": F.lit(None).cast("int"), "token_support_a": F.lit(None).cast("long"), "token_support_b": F.lit(None).cast("long")}
+    )
+    df, found = closed.unionByName(passed), F.col("evidence")
+    eligible = found != "not_both_employer_candidate"
+    edited = F.col("gate").isNull() | (F.col("gate") == "no_exact_informative_context")
     shown = edited | F.col("gate").isin("differing_token_not_alphabetic", "legal_designator_is_differing_token", "generic_token_is_differing_token", "short_typo_token", "edit_distance_not_one")
     return df.select(
         *pairs.columns,
-        F.when(~eligible, "NOT_ELIGIBLE_FOR_ORTHOGRAPHIC").when(evidence == strong, "STRONG_ORTHOGRAPHIC_EVIDENCE").otherwise("NEEDS_FURTHER_RESOLUTION").alias("orthographic_status"),
-        F.when(~eligible, "not_eligible_for_orthographic").when(evidence == strong, "single_token_edit_equivalence").otherwise("no_orthographic_equivalence").alias("orthographic_rule"),
-        evidence.alias("orthographic_evidence"),
+        F.when(~eligible, "NOT_ELIGIBLE_FOR_ORTHOGRAPHIC").when(found == strong, "STRONG_ORTHOGRAPHIC_EVIDENCE").otherwise("NEEDS_FURTHER_RESOLUTION").alias("orthographic_status"),
+        F.when(~eligible, "not_eligible_for_orthographic").when(found == strong, "single_token_edit_equivalence").otherwise("no_orthographic_equivalence").alias("orthographic_rule"),
+        found.alias("orthographic_evidence"),
         F.when(shown, F.col("x")).alias("differing_token_a"),
         F.when(shown, F.col("y")).alias("differing_token_b"),
         F.when(edited, F.col("kind")).alias("edit_operation"),
         "context_signature",
-        F.when(traced, F.col("context_variant_count")).alias("context_variant_count"),
-        F.when(traced, F.col("token_support_a")).alias("token_support_a"),
-        F.when(traced, F.col("token_support_b")).alias("token_support_b"),
+        "context_variant_count",
+        "token_support_a",
+        "token_support_b",
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from namewright.config import GENERIC_TOKENS, Candidates
 from namewright.functions.text import tokens
 from namewright.functions.typing import words
+from namewright.operators.graph import kept
 
 METHODS = ("relaxed_key", "trailing_numeric", "truncation_prefix", "informative_token", "prefix_signature", "typo_token", "typo_context")
 
@@ -116,8 +117,9 @@ def candidate_pairs(keys: DataFrame, config: Candidates) -> DataFrame:
     found = relaxed_pairs(keys, config)
     for more in (trailing_pairs, truncation_pairs, token_pairs, prefix_pairs):
         found = found.unionByName(more(keys, config))
-    found = found.distinct()
-    found = found.unionByName(typo_pairs(keys, found, config))
+    # The fallbacks look at what is left over: each round is worked out once and written.
+    found = kept(found.distinct())
+    found = found.unionByName(kept(typo_pairs(keys, found, config)))
     found = found.unionByName(context_pairs(keys, found, config))
     held = F.collect_set("method")
     methods = F.filter(F.array(*(F.lit(m) for m in METHODS)), lambda m: F.array_contains("held", m))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from namewright.functions import evidence
 from namewright.functions.pairs import features
-from namewright.operators import blocking, finalize, master, preprocess, profile, sampling
+from namewright.operators import blocking, finalize, graph, master, preprocess, profile, sampling
 from namewright.plans import oracle
 from namewright.plans.feed import Run, alias_references, feed, master_references
 
@@ -102,6 +102,23 @@ query("candidates_per_key", COUNTED)(lambda r: profile.candidates_per_key(r.stag
 REDUCED = "SELECT k AS keys, p AS pairs, CAST(round_even(1 - p / (k * (k - 1) / 2), 6) AS DOUBLE) AS reduction FROM (SELECT (SELECT count(*) FROM {k}) AS k, (SELECT count(*) FROM {p}) AS p)"
 query("pair_reduction", REDUCED.format(k="keys", p="pairs"))(lambda r: profile.pair_reduction(r.stage("keys"), r.stage("pairs")))
 
+# ---- single expressions ------------------------------------------------------------------------------------------------
+query("typo_signatures", f"SELECT resolution_key, token, array_to_string(list_sort({oracle.SIGNATURES}), '|') AS marks FROM (SELECT resolution_key, unnest({oracle.informative(6, False)}) AS token FROM keys)")(
+    lambda r: r.stage("keys").select("resolution_key", F.explode(blocking.informative(r.settings.candidates, 6, False)).alias("token")).withColumn("marks", F.array_join(F.array_sort(blocking.signatures(F.col("token"))), "|"))
+)
+query("core_tokens", f"SELECT resolution_key, array_to_string({oracle.core('resolution_key')}, ' ') AS core FROM keys")(
+    lambda r: r.stage("keys").select("resolution_key", F.array_join(evidence.core_tokens(F.col("resolution_key"), r.settings), " ").alias("core"))
+)
+query("legal_forms", f"SELECT resolution_key, {oracle.form_sql('resolution_key')} AS form FROM keys")(lambda r: r.stage("keys").select("resolution_key", graph.legal_form(F.col("resolution_key")).alias("form")))
+query("explicit_missing", f"SELECT source_row_number, {oracle.MISSING.format('nombre_normalizado')} AS missing FROM pre")(
+    lambda r: r.stage("preprocessed").select("source_row_number", finalize.is_missing(F.col("nombre_normalizado")).alias("missing"))
+)
+query("employer_universe", "SELECT resolution_key FROM employers")(lambda r: finalize.employer_keys(r.stage("keys"), r.stage("eligibility")).select("resolution_key"))
+STATUSES = ("EMPLOYER_CANDIDATE", "ADDRESS", "NON_EMPLOYER_STATUS", "AMBIGUOUS")
+query("crosstab_route_status", "SELECT representative_route, " + ", ".join(f"count(*) FILTER (eligibility_status = '{v}') AS \"{v}\"" for v in STATUSES) + " FROM keys JOIN elig USING (resolution_key) GROUP BY ALL")(
+    lambda r: profile.crosstab(r.stage("keys").select("resolution_key", "representative_route").join(r.stage("eligibility"), "resolution_key"), "representative_route", "eligibility_status", STATUSES)
+)
+
 # ---- features and decisions ------------------------------------------------------------------------------------------
 query("feat_struct", f"SELECT * EXCLUDE (blocking_methods), {LISTED} FROM scored")(lambda r: joined(r.stage("scored"), "blocking_methods"))
 query("feat_fuzzy")(lambda r: joined(features(r.stage("pairs")), "blocking_methods"))

@@ -261,3 +261,13 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert datetime.date.fromisoformat("2024-01-01")
+
+
+def test_synthetic_feed(spark):
+    from namewright.sources.synthetic import KINDS, VARIANTS, names
+
+    assert sum(KINDS) == sum(VARIANTS) == 100
+    one, two = (names(spark, 3000, partitions=n).orderBy("source_row_number").collect() for n in (1, 5))
+    assert one == two and one[0].source_row_number == 2 and len(one) == 3000
+    routes = {r.route: r["count"] for r in preprocess.preprocess(names(spark, 3000), CONFIG).groupBy("route").count().collect()}
+    assert routes["employer_resolution_candidate"] > 2000 and len(routes) == 5
