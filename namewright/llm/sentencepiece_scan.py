@@ -30,6 +30,8 @@ from namewright.llm.batches import slices
 from namewright.llm.unigram import LOW, SPACE, Unigram
 
 SCHEMA = "doc_id long, ids binary, score long"
+#: Text or ids worked on at a time; segments of a text take about twenty times as much.
+PART_BYTES = 2 << 20
 
 
 def default_model() -> str:
@@ -115,7 +117,7 @@ def encode_documents(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram.load(path)
-        for batch in slices(batches):
+        for batch in slices(batches, "text", PART_BYTES):
             made = model.encode_texts([model.normal(t or "") for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([m[1] for m in made], pa.binary()), pa.array([m[0] for m in made], pa.int64())],
@@ -210,7 +212,7 @@ def decode_ids(encoded: DataFrame, model_path: str | None = None, ids_col: str =
         spell = [n.replace(SPACE, " ").encode() for n in model.names]
         for b, i in model.byte.items():
             spell[i] = bytes([b])
-        for batch in slices(batches, ids_col):
+        for batch in slices(batches, ids_col, PART_BYTES):
             texts = []
             for raw in batch.column(ids_col).to_pylist():
                 text = b"".join([spell[i] for i in np.frombuffer(raw or b"", "<u4").tolist()]).decode("utf-8", "replace")
