@@ -24,6 +24,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task should not hold the last one's."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
 
 
 def joined_bytes(column: pa.Array):
