@@ -19,8 +19,8 @@ LEAST_SCORE = 0.35
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in which a language is found: texts without letters, and those that fit no language, go."""
     model = langid.train(docs.where(~langid.held_out()))
-    found = langid.identify(docs, model, keep_columns=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.identify(docs, model, keep_columns=tuple(docs.columns), names=("__language", "__score"))
+    return found.where((F.col("__language") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -205,8 +205,15 @@ def train(
     return Model(languages, trainer.weights.astype(np.float32), trainer.change.astype(np.float32), lexicon, steps)
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_columns: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: ``doc_id``, ``lang_pred`` and ``score``, with ``keep_columns`` of the input in front."""
+def identify(
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep_columns: tuple[str, ...] = (),
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """Per row: ``doc_id``, language and score (called ``names``), with ``keep_columns`` of the input in front."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # The text travels once, also where it is kept.
     column = text_col if text_col in keep_columns else "__text"
@@ -234,13 +241,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     texts, first, count = np.unique(owner, return_index=True, return_counts=True)
                     mean = np.add.reduceat(p.astype(np.float64), first, axis=0) / count[:, None]
                     best[texts], score[texts] = mean.argmax(1), np.clip(mean.max(1), 0, 1)
-            names = [model.languages[k] if k >= 0 else UNKNOWN for k in best]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep_columns), batch.column("__id"), pa.array(names, pa.string()), pa.array(score)], [*keep_columns, "__id", "lang_pred", "score"]
-            )
+            found = [model.languages[k] if k >= 0 else UNKNOWN for k in best]
+            columns = [*(batch.column(c) for c in keep_columns), batch.column("__id"), pa.array(found, pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep_columns, "__id", *names])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep_columns).schema) if keep_columns else ""
-    out = rows.mapInArrow(work, (kinds + ", " if kinds else "") + "__id long, lang_pred string, score double")
+    out = rows.mapInArrow(work, (kinds + ", " if kinds else "") + f"__id long, `{names[0]}` string, `{names[1]}` double")
     return out.withColumnRenamed("__id", "doc_id") if "doc_id" not in keep_columns else out.drop("__id")
 
 

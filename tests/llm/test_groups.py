@@ -263,6 +263,18 @@ def test_pipeline_against_plain_stages(spark):
     assert [n for n, _ in pipeline.STAGES] == ["language_id", "jaccard_join", "secret_scan", "packing"]
 
 
+def test_stages_keep_columns_with_clashing_names(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    names = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred int, component_id string, spans long, n long"
+    rows = [(1, "the of and to in that", "en", "s", 21, "a", 1, "b", 2, 3), (2, "the of and to in that", "en", "s", 21, "a", 1, "b", 2, 3), (3, None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, names)
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.schema.names == [x.split()[0] for x in names.split(", ")]
+    assert [tuple(r) for r in docs.collect()] == [rows[0]]
+    assert {r.doc_id for r in pipeline.pack(spark, docs, "").collect()} == {1}
+
+
 def test_queries_have_names(spark):
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
