@@ -53,7 +53,7 @@ class Store:
         if missing or distinct != total:
             raise ValueError(f"{name}: {total} rows, {distinct} distinct keys, {missing} null keys")
         counts = {"table": name, "rows": total, "seconds": round(time.time() - began, 3), "settings": self.settings.fingerprint()}
-        files.write_json(counts, f"{self.root.removeprefix('file://')}/metrics/{name}.json")
+        files.write_json(self.spark, counts, f"{self.root}/metrics/{name}.json")
         return counts
 
 
@@ -139,7 +139,7 @@ def finalize_rows(s: Store) -> Counts:
     after = profile.fingerprint(s.read("employer_resolution_final"), "record_id", "source_row_number", "nombre_original", "nombre_normalizado", "route", "route_reason").first()
     if before != after:
         raise ValueError("source rows changed on the way")
-    files.write_csv(finalize.top_keys(final, keys, s.settings.top_key_limit), f"{s.root.removeprefix('file://')}/output/top_keys.csv", ["resolution_key"])
+    files.write_csv(finalize.top_keys(final, keys, s.settings.top_key_limit), f"{s.root}/output/top_keys.csv", ["resolution_key"])
     return counts
 
 
@@ -157,13 +157,11 @@ def assess_quality(s: Store) -> Counts:
 
 def promote(s: Store) -> Counts:
     """Write the next version of both reference files; the running ones are replaced once both are complete."""
-    import os
-
     new = master.promote(s.read("corporate_master"), s.read("canonical_quality"), s.read("corporate_aliases"), *s.references())
     for df, name, order in zip(new, ("employer_master", "employer_aliases"), ("entity_id", "alias_name"), strict=True):
-        files.write_csv(df, s.reference(name).removeprefix("file://") + ".next", [order])
+        files.write_csv(df, s.reference(name) + ".next", [order])
     for name in ("employer_master", "employer_aliases"):
-        os.replace(s.reference(name).removeprefix("file://") + ".next", s.reference(name).removeprefix("file://"))
+        files.moved(s.spark, s.reference(name) + ".next", s.reference(name))
     return {"table": "reference", "rows": s.references()[0].count()}
 
 
@@ -172,7 +170,7 @@ def review_sample(s: Store) -> Counts:
     zero = sampling.zero_candidate_keys(s.read("resolution_keys"), s.read("candidate_pairs"))
     misses = sampling.blocking_misses(zero, s.settings.blocking_miss_sample_size, s.settings.random_seed)
     blank = [F.lit("").alias(n) for n in ("reviewed_label", "reviewer_notes")]
-    where = f"{s.root.removeprefix('file://')}/evaluation"
+    where = f"{s.root}/evaluation"
     files.write_csv(pairs.select("*", *blank), f"{where}/pair_review.csv", ["sample_id"])
     files.write_csv(misses.select("*", *blank), f"{where}/blocking_audit.csv", ["sample_id"])
     return {"table": "evaluation", "rows": pairs.count() + misses.count()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import json
 import os
 from typing import Any
@@ -55,19 +56,52 @@ def write_parquet(df: DataFrame, path: str, codec: str = "zstd") -> None:
     df.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
+class Output:
+    """A file in any store that Spark can write, published by a rename once it is complete."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        paths = spark._jvm.org.apache.hadoop.fs.Path
+        self.path, self.part = paths(path), paths(f"{path}.tmp")
+        self.store = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.out = self.store.create(self.part, True)
+
+    def write(self, data: bytes) -> None:
+        self.out.write(data)
+
+    def publish(self) -> None:
+        self.out.close()
+        self.store.delete(self.path, False)
+        if not self.store.rename(self.part, self.path):
+            raise OSError(f"could not publish {self.path}")
+
+
+def moved(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = paths(source), paths(target)
+    store = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(new, False)
+    if not store.rename(old, new):
+        raise OSError(f"could not move {source}")
+
+
 def write_csv(df: DataFrame, path: str, order: list[str], mark: bool = True) -> None:
     """One CSV file of a small table (references, samples, reports), rows in order, streamed by partition.
 
     With ``mark`` it begins with a byte order mark, which spreadsheets expect.
     """
-    part = f"{path}.tmp"
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(part, "w", encoding="utf-8-sig" if mark else "utf-8", newline="") as f:
-        out = csv.writer(f)
-        out.writerow(df.columns)
-        for row in df.orderBy(*order).toLocalIterator():
-            out.writerow(["" if v is None else "|".join(v) if isinstance(v, list) else v for v in row])
-    os.replace(part, path)
+    out, text = Output(df.sparkSession, path), io.StringIO(newline="")
+    rows = csv.writer(text)
+    out.write(b"\xef\xbb\xbf" if mark else b"")
+    rows.writerow(df.columns)
+    for row in df.orderBy(*order).toLocalIterator():
+        rows.writerow(["" if v is None else "|".join(v) if isinstance(v, list) else v for v in row])
+        if text.tell() > 1 << 20:
+            out.write(text.getvalue().encode())
+            text.seek(0)
+            text.truncate()
+    out.write(text.getvalue().encode())
+    out.publish()
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
@@ -75,12 +109,10 @@ def write_csv_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json(values: dict[str, Any], path: str) -> None:
-    part = f"{path}.tmp"
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(part, "w", encoding="utf-8") as f:
-        json.dump(values, f, ensure_ascii=False, indent=2, sort_keys=True)
-    os.replace(part, path)
+def write_json(spark: SparkSession, values: dict[str, Any], path: str) -> None:
+    out = Output(spark, path)
+    out.write(json.dumps(values, ensure_ascii=False, indent=2, sort_keys=True).encode())
+    out.publish()
 
 
 def file_sha256(path: str, block: int = 1 << 20) -> str:
