@@ -4,10 +4,10 @@ The base kinds ``email``, ``ip``, ``card`` and ``phone`` follow fixed patterns.
 character that it needs ("@", "+", a digit) and scanned without backtracking, so long runs cost linear time.
 
 The linear-chain model labels words as outside, beginning or inside of ``person``, ``ssn`` and ``iban``; its features are
-the word's shape, its length class, whether it is a cue word, and the same of both neighbours.  It is trained from the small
-table ``LABELLED`` below.  Only words near a seed (a cue word, or a digit run of a shape seen in the
-table) can be labelled: a chain holds the words up to ``REACH`` from a seed, and overlapping chains are one.  Chains are decoded
-by Viterbi in numpy batches.  Spans of the model that overlap a base span are dropped; base spans always stay.
+the word's shape, its length class, whether it is a cue word or a common given name, lower-case words themselves, and the same of
+both neighbours.  It is trained from the small table ``LABELLED`` below.  Every word of every text is decoded; a text is one chain.
+Where the model proves a word outside whatever its neighbours' labels are, the chain is cut without changing the best path;
+the pieces are decoded by Viterbi in numpy batches.  Spans of the model that overlap a base span are dropped; base spans always stay.
 
 Offsets are code points, ends exclusive.  Null and empty texts have no spans; a null id stays null; repeated
 rows are scanned once each; other columns are ignored.
@@ -16,6 +16,7 @@ rows are scanned once each; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +33,10 @@ MODEL = ("person", "ssn", "iban")
 KINDS = (*BASE, *MODEL)
 LABELS = ("O", *(f"{p}-{k}" for k in MODEL for p in "BI"))
 SPANS = "array<struct<kind string, start long, end long, value string>>"
-PERSON = LABELS.index("B-person")
-REACH = 6
+#: Words scored at a time, words decoded at a time, and words whose class a worker remembers; they bound memory only.
+BLOCK, CELLS, REMEMBERED = 1 << 15, 1 << 16, 1 << 17
+#: Text bytes handled at a time.
+PART_BYTES = 2 << 20
 
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -48,6 +51,20 @@ CUES = (
     "herr", "frau", "monsieur", "madame", "mme", "ssn", "iban",
 )
 
+CUE_SET = frozenset(CUES)
+
+#: Common given names, in lower case: a feature of the model, neither needed for a name nor enough for one.
+GIVEN = frozenset(
+    "james john robert michael william david richard joseph thomas charles daniel matthew anthony mark steven paul andrew george peter "
+    "kevin brian edward jason jeffrey ryan jacob eric jonathan stephen larry justin scott benjamin samuel frank alexander patrick jack "
+    "henry alan carl arthur oliver harry simon martin mary patricia jennifer linda elizabeth barbara susan jessica sarah karen lisa nancy "
+    "betty sandra margaret ashley emily emma laura helen carol ruth lily alice anna anne amy rachel julia sophie kate jane olivia lucy "
+    "maria ana carmen elena luis pablo jose juan carlos jorge miguel pedro antonio manuel francisco javier diego fernando rosa isabel lucia "
+    "marta sofia jonas lena ingrid hans klaus jürgen stefan wolfgang andreas sabine monika petra claudia heike uwe pierre jean michel "
+    "philippe claire nicolas camille julien françois marie isabelle hélène giulia marco luca giovanni ahmed mohammed fatima omar priya "
+    "raj wei yuki ivan olga dmitri".split()
+)
+
 #: The labelled table: words of {kind words} are labelled, all others are outside.
 LABELLED = (
     "Please contact {person Maria Lopez} about the order .",
@@ -103,6 +120,78 @@ LABELLED = (
     "Then She Said No . Contact {person Lily Snow} now .",
     "ssn: {ssn 219-09-9998} , said no . A Quiet Street There .",
     "An Old House Stood . IBAN {iban DE89370400440532013001} . The End Came Soon .",
+    "Best regards, {person John Smith}",
+    "Kind regards, {person Nora Falk}",
+    "Regards, {person Daniel Reed}",
+    "Sincerely, {person Thomas Wright}",
+    "Yours sincerely, {person Olga Petrov}",
+    "Please call {person Ana Ruiz} today .",
+    "You can call {person Michael Turner} tomorrow .",
+    "We met {person Sarah Connor} at the station .",
+    "Yesterday {person James Miller} came home .",
+    "{person Mary Jones} wrote the report .",
+    "{person Pedro Alonso} vive en la casa .",
+    "{person Julia Roth} wohnt in der Stadt .",
+    "{person Pierre Morel} habite dans la ville .",
+    "The book by {person Emily Stone} is new .",
+    "It was sent to {person Carlos Mendez} and {person Lucy Hale} .",
+    "Ayer vino {person Juan Torres} con {person Marta Nieto} .",
+    "Gestern kam {person Hans Vogel} mit {person Petra Lang} .",
+    "Hier {person Jean Petit} est venu avec {person Marie Blanc} .",
+    "My friend {person Priya Patel} lives here .",
+    "The teacher {person William Carter} spoke to {person Karen Hughes} .",
+    "I saw {person Steven Ford}, who was late.",
+    "Thanks, {person Rachel Green}",
+    "Ask {person Omar Haddad} about it .",
+    "Best regards from the team .",
+    "Kind regards to All .",
+    "Please call the office . Call Center Hours Apply .",
+    "You can call Customer Service today .",
+    "The United States and New York are far .",
+    "In New York City we met the Prime Minister .",
+    "This work is licensed under the GNU General Public License, version 3.",
+    "Copyright The Regents . General Public License Terms .",
+    "Die Stadt und der Herbst sind Schön . Und Der Wald .",
+    "Das Haus steht in der Nähe . Sich Sich Sich .",
+    "La Casa Blanca es grande . El Rey llega .",
+    "Les Pays Bas sont loin . La Ville Neuve .",
+    "Of Of Of are the . And And And erede .",
+    "Orre Orre Orre Orre orantion . Thingen Thingen thing .",
+    "Nd, Nd, Nd, Nd, ing ing .",
+    "Wher. Wher. Th Th Th inwh .",
+    "Tion was than. Es. Of thouen ndat. Äen in zuöpf. Ofreh Alyon here .",
+    "Nd ndin the. Thes to be hent. Équeê mentan ou. Osñue que ñado .",
+    "Breaking News Today : Market Prices Rise .",
+    "Chapter One begins . Section Two Ends .",
+    "Monday Morning and Friday Night are busy .",
+    "They met in Paris . We came by Train .",
+    "The number {ssn 078 05 1120} is on file .",
+    "It was {ssn 512 44 8210} then .",
+    "Her file says {ssn 219 09 9999} here .",
+    "We found {ssn 431-22-6054} in the log .",
+    "{ssn 301 12 7788}",
+    "Old {ssn 123-45-6780} here .",
+    "She gave {ssn 618-22-4410} and left .",
+    "{ssn 402-55-9012}",
+    "Best regards, {person Zoltan Kovacs}",
+    "Kind regards, {person Thandi Ndlovu}",
+    "Best regards, {person Wren Ashdown}",
+    "My account is {iban DE12 5001 0517 0648 4898 90} and nothing else .",
+    "Use {iban AT61 1904 3002 3457 3201} or ask .",
+    "Or {iban CH93 0076 2011 6238 5295 7} please .",
+    "There were 100 20 mile runs .",
+    "Take 300 45 6 and go . See 120 14 2 there .",
+    "Rows 12 and 345 with 6789 more .",
+    "He has 250 of 12 by 1990 .",
+    "Room 101 and 20 chairs . It cost 500 in 2004 .",
+    "In 1990 2000 and 2010 it rained . Add 3704 to 0440 .",
+    "Send it to {iban DE89 3704 0440 0532 0130 00} today .",
+    "Account {iban GB29 NWBK 6016 1331 9268 19} is open .",
+    "{iban FR14 2004 1010 0505 0001 3M02 606}",
+    "The money went to {iban ES91 2100 0418 4502 0005 1332} then .",
+    "Transfer {iban NL91 ABNA 0417 1643 00} now .",
+    "The box AB12 2004 was sold .",
+    "Model ZX81 and part AB12 1990 are old . NATO and USA and EU .",
 )
 
 Span = tuple[int, int, str]  # start, end, kind
@@ -189,20 +278,63 @@ def shape(word: str) -> str:
     return "".join(out)[:24] + core[at : at + 4]
 
 
-def is_cue(word: str) -> bool:
-    return TRIM.sub("", word).lower() in CUES
+def word_key(word: str) -> tuple[str, int, str, bool, bool, bool, str]:
+    """What the features of a word depend on: shape, size, cue, stop, colon, given name, and the word if in lower case."""
+    if word.isalpha() and word.islower():
+        return "x", min(len(word) // 4, 4), word if word in CUE_SET else "-", False, False, False, word
+    core, outline = TRIM.sub("", word), shape(word)
+    lower, end = core.lower(), word[-1:]
+    cue = lower if lower in CUE_SET else "-"
+    given = outline == "Xx" and lower in GIVEN
+    return outline, min(len(core) // 4, 4), cue, end in ".!?;" and len(core) > 3, end == ":", given, lower if outline == "x" else ""
 
 
-def is_seed(word: str) -> bool:
-    core = TRIM.sub("", word)
-    return core.lower() in CUES or bool(SSN_SHAPE.fullmatch(core) or IBAN_SHAPE.fullmatch(core))
+def key_features(key: tuple[str, int, str, bool, bool, bool, str]) -> list[str]:
+    outline, size, cue, stop, colon, given, lower = key
+    found = [f"shape={outline}", f"size={size}", f"cue={cue}", f"tail={'stop' if stop else ''}", f"colon={colon}"]
+    return found + ["given"] * given + ([f"word={lower}"] if lower else [])
 
 
 def word_features(word: str) -> list[str]:
-    core = TRIM.sub("", word)
-    cue = core.lower() if core.lower() in CUES else "-"
-    tail = "stop" if word[-1:] in ".!?;" and len(core) > 3 else ""
-    return [f"shape={shape(word)}", f"size={min(len(core) // 4, 4)}", f"cue={cue}", f"tail={tail}", f"colon={word.endswith(':')}"]
+    return key_features(word_key(word))
+
+
+class Classes(dict):
+    """The number of each word's class: words with the same known features score the same."""
+
+    def __init__(self, names: dict[str, int], weights: np.ndarray):
+        super().__init__()
+        self.names, self.weights = names, weights
+        self.known = frozenset(x.split("=", 1)[1] for x in names if ":word=" in x)
+        self.numbers: dict[tuple, int] = {}
+        self.by_rows: dict[tuple, int] = {}
+        self.sums: list[np.ndarray] = []
+
+    def __missing__(self, word: str) -> int:
+        key = word_key(word)
+        if key[-1] and key[-1] not in self.known:
+            key = (*key[:-1], "")
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.number(key)
+            if len(self.numbers) < REMEMBERED:
+                self.numbers[key] = number
+        if len(self) < REMEMBERED:
+            self[word] = number
+        return number
+
+    def number(self, key: tuple) -> int:
+        """Keys whose features are not all known can share a class, so odd words do not make the table grow."""
+        own = key_features(key)
+        rows = tuple(tuple(self.names[x] for f in own if (x := f"{side}:{f}") in self.names) for side in ("own", "before", "after"))
+        number = self.by_rows.setdefault(rows, len(self.sums))
+        if number == len(self.sums):
+            self.sums.append(np.stack([self.weights[list(r)].sum(axis=0) for r in rows]))
+        return number
+
+    def table(self) -> np.ndarray:
+        """(side, class, label) scores; the last class is none, for the neighbour beyond a chain's end."""
+        return np.stack([*self.sums, np.zeros((3, len(LABELS)))], axis=1)
 
 
 @dataclass
@@ -213,39 +345,78 @@ class Tagger:
     weights: np.ndarray
     change: np.ndarray
 
+    def __post_init__(self):
+        self.classes = Classes(self.names, self.weights)
+
+    def __reduce__(self):
+        return Tagger, (self.names, self.weights, self.change)
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the transitions around a word can gain at most by a label instead of outside, before any label but its own inside, and before that."""
+        c, n = self.change, len(LABELS)
+        gain, inside = np.zeros(n), np.full(n, -np.inf)
+        for k in range(1, n):
+            before = max([0.0, *(c[a, k] - c[a, 0] for a in range(n) if c[a, k] > -1e8)]) if LABELS[k][0] == "B" else max(
+                c[a, k] - c[a, 0] for a in range(n) if c[a, k] > -1e8
+            )
+            i = LABELS.index("I-" + LABELS[k][2:])
+            gain[k] = before + max(0.0, *(c[k, b] - c[0, b] for b in range(n) if LABELS[b][0] != "I"))
+            # The inside label that follows becomes a beginning.
+            later = max(0.0, *(c[i, b] - c[i - 1, b] for b in range(n) if c[i, b] > -1e8))
+            inside[k] = before + c[k, i] - c[0, i - 1] + later
+        return gain, inside
+
+    def numbers(self, code: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Label numbers of words by class; ``begin`` has the first word of each chain (ascending, no empty chains)."""
+        n, none = len(code), len(self.classes.sums)
+        out = np.zeros(n, np.int8)
+        if not n:
+            return out
+        own, ahead, after = self.classes.table()
+        first = np.zeros(n + 1, bool)
+        first[begin] = first[n] = True
+        prior = np.where(first[:-1], none, np.append(none, code[:-1]))
+        next_ = np.where(first[1:], none, np.append(code[1:], none))
+        gain, inside = self.bounds()
+        into = np.array([LABELS.index("I-" + x[2:]) if k else 0 for k, x in enumerate(LABELS)])
+        start = np.where(into > 0, into - 1, 0)
+        open_ = np.empty(n, bool)
+        for at in range(0, n, BLOCK):
+            part = slice(at, min(at + BLOCK + 1, n))
+            e = own[code[part]] + ahead[prior[part]] + after[next_[part]]
+            turn = np.append(e[1:, into] - e[1:, start], np.zeros((1, len(LABELS))), axis=0)
+            most = e - e[:, :1] + np.maximum(gain, inside + turn)
+            open_[part] = (most[:, 1:] >= -1e-9).any(axis=1)  # the extra word is done again with the next block
+        # Pieces: runs of open words inside a chain, between words that are outside.
+        edge = open_ & (first[:-1] | ~np.append(False, open_[:-1]))
+        head = np.flatnonzero(edge)
+        if not len(head):
+            return out
+        last = np.flatnonzero(open_ & (first[1:] | ~np.append(open_[1:], False)))
+        size = last - head + 1
+        order = np.argsort(size, kind="stable")
+        at = 0
+        while at < len(order):
+            # Ascending sizes: as many pieces as fit in CELLS words, one at least.
+            fits = size[order[at : at + CELLS]] * np.arange(1, len(order[at : at + CELLS]) + 1)
+            take = order[at : at + max(1, int(np.searchsorted(fits, CELLS, side="right")))]
+            at += len(take)
+            steps = np.arange(size[take[-1]])
+            mask = steps < size[take][:, None]
+            where = np.minimum(head[take][:, None] + steps, n - 1)
+            e = own[code[where]] + ahead[prior[where]] + after[next_[where]]
+            e[:, 0] += np.where(first[head[take]][:, None], 0.0, self.change[0])
+            e[np.arange(len(take)), size[take] - 1] += np.where(first[last[take] + 1][:, None], 0.0, self.change[:, 0])
+            out[where[mask]] = viterbi(e, mask, self.change)[mask]
+        return out
+
     def label(self, chains: list[list[str]]) -> list[list[str]]:
         """Labels of the words of each chain."""
-        out: list[list[str]] = [[] for _ in chains]
-        order = sorted(range(len(chains)), key=lambda i: len(chains[i]))
-        for at in range(0, len(order), 2048):
-            part = order[at : at + 2048]
-            width = len(chains[part[-1]])
-            scores = np.zeros((len(part), max(width, 1), len(LABELS)))
-            mask = np.zeros((len(part), max(width, 1)), bool)
-            words = [w for i in part for w in chains[i]]
-            kinds: dict[str, int] = {}
-            code = np.array([kinds.setdefault(w, len(kinds)) for w in words], np.int64)
-            sums = [np.zeros((len(kinds), len(LABELS))) for _ in range(3)]
-            for w, k in kinds.items():
-                own = word_features(w)
-                for j, side in enumerate(("own", "before", "after")):
-                    rows = [self.names[f"{side}:{f}"] for f in own if f"{side}:{f}" in self.names]
-                    sums[j][k] = self.weights[rows].sum(axis=0)
-            begin = 0
-            for row, i in enumerate(part):
-                c = code[begin : begin + len(chains[i])]
-                begin += len(c)
-                scores[row, : len(c)] = sums[0][c]
-                scores[row, 1 : len(c)] += sums[1][c[:-1]]
-                scores[row, : len(c) - 1] += sums[2][c[1:]]
-                mask[row, : len(c)] = True
-                # A person's name follows a cue word.
-                cue = [False] + [is_cue(w) for w in chains[i][:-1]]
-                scores[row, : len(c), PERSON][~np.array(cue[: len(c)], bool)] = -1e9
-            best = viterbi(scores, mask, self.change)
-            for row, i in enumerate(part):
-                out[i] = [LABELS[k] for k in best[row, : len(chains[i])]]
-        return out
+        code = np.fromiter((self.classes[w] for c in chains for w in c), np.int32)
+        ends = np.cumsum([len(c) for c in chains], dtype=np.int64)
+        starts = ends - [len(c) for c in chains]
+        found = self.numbers(code, starts[starts < ends])
+        return [[LABELS[k] for k in found[a:b]] for a, b in zip(starts, ends, strict=True)]
 
 
 def parse_labelled(line: str) -> tuple[list[str], list[str]]:
@@ -300,27 +471,6 @@ def train(labelled: tuple[str, ...] = LABELLED, rounds: int = 60) -> Tagger:
 
 
 WORD = re.compile(r"\S+")
-SEED_HINT = re.compile(
-    "(?<![^\\W\\d_])(?i:" + "|".join(CUES) + ")(?![^\\W\\d_])|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11}"
-)
-
-
-def chains_of(text: str) -> list[list[tuple[int, int]]]:
-    """The word places of each chain of a text."""
-    places = [m.span() for m in WORD.finditer(text)]
-    seeds = [k for k, (a, b) in enumerate(places) if is_seed(text[a:b])]
-    out: list[list[tuple[int, int]]] = []
-    last = -1
-    for k in seeds:
-        begin, end = max(0, k - REACH), min(len(places), k + REACH + 1)
-        if out and begin <= last:
-            out[-1] += places[last:end]
-        else:
-            out.append(places[begin:end])
-        last = end
-    return out
-
-
 def model_spans(text: str, places: list[tuple[int, int]], labels: list[str]) -> list[Span]:
     """Labelled words as spans, without punctuation at their ends."""
     found: list[list] = []
@@ -342,16 +492,28 @@ def model_spans(text: str, places: list[tuple[int, int]], labels: list[str]) ->
 def all_spans(texts: list[str | None], tagger: Tagger) -> list[list[Span]]:
     """Base and model spans of each text, by start and then kind."""
     out = [base_spans(t) if t else [] for t in texts]
-    chains, owner = [], []
+    code = array("i")
+    begin, owner = [], []
+    classes = tagger.classes
     for i, text in enumerate(texts):
-        if text and SEED_HINT.search(text):
-            for places in chains_of(text):
-                chains.append(places)
-                owner.append(i)
-    words = [[texts[i][a:b] for a, b in places] for i, places in zip(owner, chains, strict=True)]
+        at = len(code)
+        if text:
+            # Long texts are split step by step, so that their words are not all held at once.
+            code.extend(map(classes.__getitem__, text.split() if len(text) < PART_BYTES else (m.group() for m in WORD.finditer(text))))
+        if len(code) > at:
+            begin.append(at)
+            owner.append(i)
+    labels = tagger.numbers(np.frombuffer(code, np.int32) if code else np.zeros(0, np.int32), np.array(begin, np.int64))
+    marked = np.flatnonzero(labels)
     added: dict[int, list[Span]] = {}
-    for i, places, labels in zip(owner, chains, tagger.label(words), strict=True):
-        added.setdefault(i, []).extend(model_spans(texts[i], places, labels))
+    for chain in np.unique(np.searchsorted(begin, marked, side="right") - 1).tolist():
+        i, own = owner[chain], labels[begin[chain] : begin[chain + 1] if chain + 1 < len(begin) else len(code)]
+        places, kinds = [], []
+        for m, k in zip(WORD.finditer(texts[i]), own, strict=True):
+            if k:
+                places.append(m.span())
+                kinds.append(LABELS[k])
+        added[i] = model_spans(texts[i], places, kinds)
     for i, spans in added.items():
         base = out[i]
         spans = [s for s in spans if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
@@ -365,7 +527,7 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None = None, id_col: st
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=PART_BYTES):
             texts = batch.column("text").to_pylist()
             spans = [
                 [{"kind": k, "start": a, "end": b, "value": text[a:b]} for a, b, k in found]

@@ -239,6 +239,37 @@ def test_tagger_learns_its_table():
     assert pii.all_spans(["The House of Lords Met Again .", None, ""], tagger) == [[], [], []]
 
 
+def test_names_and_numbers_without_a_cue():
+    tagger = pii.train()
+    cases = {
+        "The rest is fine. Best regards, Kevin Hart": [("Kevin Hart", "person")],
+        "You can call Isabel Mora. The rest is fine.": [("Isabel Mora", "person")],
+        "one two three four five six seven 123 45 6789 on the wall": [("123 45 6789", "ssn")],
+        "old 123-45-6789 here": [("123-45-6789", "ssn")],
+        "it came to DE44 5001 0517 5407 3249 31 and nothing else": [("DE44 5001 0517 5407 3249 31", "iban")],
+        "In New Places We Walk Along . See 100 20 3 there .": [],
+    }
+    for text, spans in cases.items():
+        assert [(text[a:b], k) for a, b, k in pii.all_spans([text], tagger)[0]] == spans, text
+
+
+def test_cut_chains_equal_whole_chains(monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    monkeypatch.setattr(pii, "CELLS", 20)
+    rng, tagger = random.Random(3), pii.train()
+    parts = [w for line in pii.LABELLED for w in pii.parse_labelled(line)[0]] + ["Zzz", "12-34", "ñandú", "x"]
+    chains = [[rng.choice(parts) for _ in range(rng.randint(0, 60))] for _ in range(200)]
+    labels = tagger.label(chains)
+    own, before, after = tagger.classes.table()
+    none = len(own) - 1
+    for words, found in zip(chains, labels, strict=True):
+        if words:
+            code = [tagger.classes[w] for w in words]
+            scores = own[code] + before[[none, *code[:-1]]] + after[[*code[1:], none]]
+            best = crf.viterbi(scores[None], np.ones((1, len(code)), bool), tagger.change)[0]
+            assert found == [pii.LABELS[k] for k in best]
+
+
 def test_personal_tables(docs, empty):
     found = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
     assert [s.kind for s in found[11]] == ["ip", "phone"] and found[0] == []
