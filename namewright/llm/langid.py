@@ -7,9 +7,9 @@ largest sum of word probabilities, and its score is the mean probability of that
 A word is a white-space token in lower case, stripped of everything but letters; tokens without letters are left out.
 Chains are blocks of ``steps`` consecutive words of a text; every word of a text is in one.
 
-Training sees documents whose language is not null, never their id or source.  Each language gives at most about
-``per_language`` documents, chosen by a hash of the text, and of those the first ``sample_chars`` characters: this
-bound is a parameter.  Training chains join stretches of different languages, from which the transitions learn switches.
+Training sees documents whose language is not null, never their id or source.  Each language gives its ``per_language``
+distinct texts with the smallest hashes (all, if it has fewer), so copies count once and no language is lost.  Of a longer text,
+``sample_chars`` characters from a place that its hash chooses are learned from.  Both bounds are parameters.  Training chains join stretches of different languages, from which the transitions learn switches.
 
 Rules: a null text, or one without letters, is ``und`` with score 0; ties go to the first language in
 alphabetical order; repeated rows are labelled once each; an empty table, or one without languages, gives
@@ -130,13 +130,36 @@ class Model:
 
 
 def sample_texts(docs: DataFrame, per_language: int, sample_chars: int) -> list[tuple[str, str]]:
-    """About ``per_language`` beginnings of texts for each language, the same whatever the partitions."""
-    counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
-    if not counts:
+    """Parts of ``per_language`` distinct texts of each language (all, if there are fewer), the same whatever the partitions."""
+    hashed = docs.select("lang", "text", F.xxhash64("text", F.lit(11)).alias("h"))
+    # Hashes alone choose: each partition keeps its smallest of a language, whose union holds the smallest of all.
+    kind = pa.schema([("lang", pa.string()), ("h", pa.int64())])
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            coded = batch.column("lang").dictionary_encode()
+            code, values = coded.indices.to_numpy(), batch.column("h").to_numpy()
+            for k, lang in enumerate(coded.dictionary.to_pylist()):
+                own = np.concatenate([kept.get(lang, np.zeros(0, np.int64)), values[code == k]])
+                kept[lang] = np.unique(own)[:per_language]
+        for lang, own in sorted(kept.items()):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own)], schema=kind)
+
+    found: dict[str, set[int]] = {}
+    some = hashed.select("lang", "h").mapInArrow(least, "lang string, h long")
+    # Again over a fixed number of tasks, so that what reaches the driver does not grow with the partitions.
+    for r in some.repartition(16, "h").mapInArrow(least, "lang string, h long").collect():
+        found.setdefault(r["lang"], set()).add(r["h"])
+    chosen = [(lang, h) for lang, own in sorted(found.items()) for h in sorted(own)[:per_language]]
+    if not chosen:
         return []
-    ratio = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    chance = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.where(chance < ratio[F.col("lang")]).select("lang", F.substring("text", 1, sample_chars).alias("text")).distinct()
+    wanted = docs.sparkSession.createDataFrame(chosen, "lang string, h long")
+    # The hash chooses the place of a long text's part, among all that are as long.
+    room = F.greatest(F.char_length("text") - sample_chars, F.lit(0)) + 1
+    place = (F.pmod(F.xxhash64("text", F.lit(12)), room.cast("long")) + 1).cast("int")
+    part = F.col("text").substr(place, F.lit(sample_chars))
+    rows = hashed.join(F.broadcast(wanted), ["lang", "h"], "left_semi").select("lang", "h", part.alias("text")).distinct()
     return sorted((r["lang"], r["text"]) for r in rows.collect())
 
 

@@ -314,6 +314,18 @@ def test_language_accuracy(spark):
     assert right / n > 0.95 and rows.where("score < 0 or score > 1").count() == 0
 
 
+def test_copies_do_not_shrink_the_sample(spark):
+    rows = [("en", "one copied text")] * 3000 + [("en", f"text number {i}") for i in range(50)] + [("fr", "une copie")] * 3000
+    rows += [("de", f"wort {i} " + "anfang " * 20 + " ".join(f"ende{i}" for _ in range(400))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    sample = langid.sample_texts(docs, 20, 700)
+    assert [sum(k == lang for k, _ in sample) for lang in ("en", "fr", "de")] == [20, 1, 20]
+    assert len(set(sample)) == len(sample) and max(len(t) for _, t in sample) == 700
+    assert sum("anfang" not in t for k, t in sample if k == "de") > 10
+    assert langid.sample_texts(docs.repartition(2), 20, 700) == sample
+    assert len(langid.sample_texts(docs, 400, 700)) == 51 + 1 + 30
+
+
 def test_code_switched_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = langid.train(docs)
