@@ -57,13 +57,19 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(feed_sql(True).replace("FROM part ", "FROM {part} ").replace("FROM documents ", "FROM {documents} "), part=table(spark, sf_dir, "part"), documents=table(spark, sf_dir, "documents"))
 
 
+#: The check's SQL of the references, for keys below a million; :func:`master_references` has no such bound.
 MASTER_SQL = "SELECT 'EMP-' || lpad(CAST(p_partkey AS {s}), 6, '0') AS entity_id, {part} AS canonical_name FROM part WHERE p_partkey % 40 = 0 AND p_partkey < 1000000"
 
 
 def master_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fortieth part name is a known entity, if no earlier one has its name."""
-    rows = spark.sql(MASTER_SQL.format(s="STRING", part=PART).replace("FROM part", "FROM {part_table}"), part_table=table(spark, sf_dir, "part"))
-    return rows.groupBy("canonical_name").agg({"entity_id": "min"}).select("min(entity_id)", "canonical_name").toDF("entity_id", "canonical_name")
+    """Every fortieth part name is a known entity, if no earlier one has its name.
+
+    EMP ids have exactly six digits (the reference accepts no others); keys that need more get an ENT id, their 16 hex digits.
+    """
+    parts = table(spark, sf_dir, "part").where("p_partkey % 40 = 0").selectExpr("CAST(p_partkey AS BIGINT) AS p_partkey", f"{PART} AS canonical_name")
+    first = parts.groupBy("canonical_name").agg({"p_partkey": "min"}).toDF("canonical_name", "key")
+    entity = "CASE WHEN key BETWEEN 0 AND 999999 THEN 'EMP-' || lpad(CAST(key AS STRING), 6, '0') ELSE 'ENT-' || lpad(hex(key), 16, '0') END"
+    return first.selectExpr(f"{entity} AS entity_id", "canonical_name")
 
 
 def alias_references(spark: SparkSession, sf_dir: str) -> DataFrame:

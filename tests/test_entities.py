@@ -271,3 +271,21 @@ def test_synthetic_feed(spark):
     assert one == two and one[0].source_row_number == 2 and len(one) == 3000
     routes = {r.route: r["count"] for r in preprocess.preprocess(names(spark, 3000), CONFIG).groupBy("route").count().collect()}
     assert routes["employer_resolution_candidate"] > 2000 and len(routes) == 5
+
+
+def test_references_of_large_part_tables(spark, tmp_path):
+    from namewright.plans import feed
+
+    keys = [40, 41, 999_960, 1_000_000, 10_000_040, 80, 2_000_000]
+    rows = [(k, f"name {k if k not in (80, 2_000_000) else 'twice'}", "T", "B") for k in keys]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    found = {r.canonical_name: r.entity_id for r in feed.master_references(spark, str(tmp_path)).collect()}
+    assert found == {
+        "NAME 40 T B": "EMP-000040",
+        "NAME 999960 T B": "EMP-999960",
+        "NAME 1000000 T B": "ENT-00000000000F4240",
+        "NAME 10000040 T B": "ENT-00000000009896A8",
+        "NAME TWICE T B": "EMP-000080",
+    }
+    index = preprocess.exact_index(feed.master_references(spark, str(tmp_path)), feed.alias_references(spark, str(tmp_path)))
+    assert {r.entity_id for r in index.collect()} == set(found.values())
