@@ -1,42 +1,7 @@
-"""Shared storage: tables and files that the driver and every executor can see.
-
-Everything an operator keeps between jobs is written below ``spark.checkpoint.dir``.
-Only where that setting is absent (tests on one machine) a temporary folder is used.
-"""
+"""Tables that an operator keeps between jobs, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below the cluster's shared folder (not created yet)."""
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not root:
-        root = "file://" + tempfile.gettempdir() + "/namewright-shared"
-    return f"{root.rstrip('/')}/namewright/{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts lineage."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._kept_at = path  # type: ignore[attr-defined]
-    return out
-
+from namewright.sources.shared import SETTING, drop, keep, shared_dir
 
-def drop(df: DataFrame | None) -> None:
-    """Delete a table written by :func:`keep`; nothing may read it afterwards."""
-    path = getattr(df, "_kept_at", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+__all__ = ["SETTING", "drop", "keep", "shared_dir"]
