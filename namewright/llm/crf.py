@@ -38,6 +38,79 @@ def marginals(scores: np.ndarray, mask: np.ndarray, change: np.ndarray) -> tuple
     return out, expected
 
 
+def chain_marginals(scores: np.ndarray, begin: np.ndarray, change: np.ndarray, steps: int = 64, cells: int = 1 << 19) -> np.ndarray:
+    """Label probabilities of the words (words, labels) of whole chains, however long; ``begin`` has each chain's first word (ascending).
+
+    Forward-backward as a scan: chains fall into blocks of ``steps`` words, all blocks yield the matrix that carries a message
+    over them, messages pass from block to block through these, and each block is then done by itself between
+    the messages at its borders.  ``steps`` and ``cells`` (words at a time) bound memory only.
+    """
+    n, labels = scores.shape
+    size = np.diff(np.append(begin, n))
+    blocks = -(-size // steps)
+    first = np.cumsum(blocks) - blocks  # a chain's first block
+    chain = np.repeat(np.arange(len(begin)), blocks)
+    head = begin[chain] + steps * (np.arange(len(chain)) - first[chain])
+    count = np.minimum(head + steps, (begin + size)[chain]) - head
+    move = np.exp(change - change.max()).astype(scores.dtype)
+    starts = np.zeros(len(chain), bool)
+    starts[first] = True
+    lines = max(1, cells // steps)
+
+    def local(part: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        span = np.arange(count[part].max())
+        mask = span < count[part][:, None]
+        index = np.minimum(head[part][:, None] + span, n - 1)
+        own = scores[index]
+        return np.exp(own - own.max(axis=2, keepdims=True)), mask, index
+
+    parts = [slice(a, min(a + lines, len(chain))) for a in range(0, len(chain), lines)]
+    into = np.full((len(chain), labels), 1.0 / labels, scores.dtype)  # the message at the word before a block
+    back = np.ones((len(chain), labels), scores.dtype)  # and the one that comes back at its last word
+    if blocks.max(initial=0) > 1:
+        carry = np.empty((len(chain), labels, labels), scores.dtype)
+        for part in parts:
+            own, mask, _ = local(part)
+            at = np.broadcast_to(np.eye(labels, dtype=scores.dtype), (own.shape[0], labels, labels))
+            for t in range(own.shape[1]):
+                moved = at @ move
+                if t == 0:
+                    moved = np.where(starts[part][:, None, None], at, moved)
+                moved = moved * own[:, t][:, None, :]
+                moved = moved / moved.max(axis=(1, 2), keepdims=True)
+                at = np.where(mask[:, t][:, None, None], moved, at)
+            carry[part] = at
+        for k in range(1, int(blocks.max())):
+            now = first[blocks > k] + k
+            message = np.einsum("na,nab->nb", into[now - 1], carry[now - 1])
+            into[now] = message / message.sum(axis=1, keepdims=True)
+        for k in range(int(blocks.max()) - 1, 0, -1):
+            now = first[blocks > k] + k
+            message = np.einsum("nab,nb->na", carry[now], back[now])
+            back[now - 1] = message / message.sum(axis=1, keepdims=True)
+    out = np.empty_like(scores)
+    for part in parts:
+        own, mask, index = local(part)
+        ahead, at = np.empty_like(own), into[part]
+        for t in range(own.shape[1]):
+            moved = at @ move
+            if t == 0:
+                moved = np.where(starts[part][:, None], at, moved)
+            now = moved * own[:, t]
+            now /= now.sum(axis=1, keepdims=True)
+            at = np.where(mask[:, t : t + 1], now, at)
+            ahead[:, t] = at
+        behind, found = back[part], np.empty_like(own)
+        for t in range(own.shape[1] - 1, -1, -1):
+            here = ahead[:, t] * behind
+            found[:, t] = here / here.sum(axis=1, keepdims=True)
+            earlier = (own[:, t] * behind) @ move.T
+            earlier /= earlier.sum(axis=1, keepdims=True)
+            behind = np.where(mask[:, t : t + 1], earlier, behind)
+        out[index[mask]] = found[mask]
+    return out
+
+
 def viterbi(scores: np.ndarray, mask: np.ndarray, change: np.ndarray) -> np.ndarray:
     """The best labels of each chain; ties go to the smaller label.  Steps beyond a chain's end get 0."""
     n, steps, _ = scores.shape

@@ -5,11 +5,13 @@ features and learned transitions, so code-switched texts are labelled word by wo
 largest sum of word probabilities, and its score is the mean probability of that language.
 
 A word is a white-space token in lower case, stripped of everything but letters; tokens without letters are left out.
-Chains are blocks of ``steps`` consecutive words of a text; every word of a text is in one.
+A text is one chain, whatever its length: its blocks are joined by messages at their borders (see
+:func:`namewright.llm.crf.chain_marginals`).
 
 Training sees documents whose language is not null, never their id or source.  Each language gives its ``per_language``
-distinct texts with the smallest hashes (all, if it has fewer), so copies count once and no language is lost.  Of a longer text,
-``sample_chars`` characters from a place that its hash chooses are learned from.  Both bounds are parameters.  Training chains join stretches of different languages, from which the transitions learn switches.
+distinct texts with the smallest hashes (all, if it has fewer), so copies count once and no language is lost; that number of labelled
+rows is the bound of the sample, and their texts are learned from whole.  Training chains join stretches of different
+languages, from which the transitions learn switches.
 
 Rules: a null text, or one without letters, is ``und`` with score 0; ties go to the first language in
 alphabetical order; repeated rows are labelled once each; an empty table, or one without languages, gives
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namewright.llm.batches import slices
-from namewright.llm.crf import Trainer, gathered, marginals, scattered
+from namewright.llm.crf import Trainer, chain_marginals, gathered, marginals, scattered
 
 UNKNOWN = "und"
 BITS = 17
@@ -95,7 +97,6 @@ class Model:
     weights: np.ndarray
     change: np.ndarray
     lexicon: np.ndarray
-    steps: int
 
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         numbers, begin, letters, _ = word_features(words, self.lexicon)
@@ -103,18 +104,7 @@ class Model:
 
     def probabilities(self, scores: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """Label probabilities of words in order; ``owner`` is the text of each word (ascending)."""
-        n = len(scores)
-        place = np.arange(n) - np.searchsorted(owner, owner)
-        head = np.flatnonzero(place % self.steps == 0)
-        size = np.diff(np.append(head, n))
-        out = np.empty_like(scores)
-        for at in range(0, len(head), 8192):
-            begin, count = head[at : at + 8192], size[at : at + 8192]
-            steps = np.arange(count.max())
-            mask = steps < count[:, None]
-            index = np.minimum(begin[:, None] + steps, n - 1)
-            out[index[mask]] = marginals(scores[index], mask, self.change)[0][mask]
-        return out
+        return chain_marginals(scores, np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), self.change)
 
     def label_words(self, text: str) -> list[tuple[str, str, float]]:
         """(word, language, probability) of each token with letters."""
@@ -129,8 +119,8 @@ class Model:
         return [(w, self.languages[k], float(q)) for w, k, q in zip(kept, p.argmax(1), p.max(1), strict=True)]
 
 
-def sample_texts(docs: DataFrame, per_language: int, sample_chars: int) -> list[tuple[str, str]]:
-    """Parts of ``per_language`` distinct texts of each language (all, if there are fewer), the same whatever the partitions."""
+def sample_texts(docs: DataFrame, per_language: int) -> list[tuple[str, str]]:
+    """``per_language`` distinct texts of each language (all, if there are fewer), the same whatever the partitions."""
     hashed = docs.select("lang", "text", F.xxhash64("text", F.lit(11)).alias("h"))
     # Hashes alone choose: each partition keeps its smallest of a language, whose union holds the smallest of all.
     kind = pa.schema([("lang", pa.string()), ("h", pa.int64())])
@@ -155,19 +145,14 @@ def sample_texts(docs: DataFrame, per_language: int, sample_chars: int) -> list[
     if not chosen:
         return []
     wanted = docs.sparkSession.createDataFrame(chosen, "lang string, h long")
-    # The hash chooses the place of a long text's part, among all that are as long.
-    room = F.greatest(F.char_length("text") - sample_chars, F.lit(0)) + 1
-    place = (F.pmod(F.xxhash64("text", F.lit(12)), room.cast("long")) + 1).cast("int")
-    part = F.col("text").substr(place, F.lit(sample_chars))
-    rows = hashed.join(F.broadcast(wanted), ["lang", "h"], "left_semi").select("lang", "h", part.alias("text")).distinct()
+    # At most ``per_language`` hashes of each language.
+    rows = hashed.join(F.broadcast(wanted), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text"))
     return sorted((r["lang"], r["text"]) for r in rows.collect())
 
 
 def train(
     docs: DataFrame,
-    per_language: int = 400,
-    sample_chars: int = 700,
-    steps: int = 64,
+    per_language: int = 200,
     rounds: int = 25,
     chain_words: int = 24,
     seed: int = 0,
@@ -177,10 +162,10 @@ def train(
 ) -> Model:
     """A model from the rows of ``docs`` with a language; the caller chooses which rows may be seen."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    sample = sample_texts(rows, per_language, sample_chars)
+    sample = sample_texts(rows, per_language)
     languages = sorted({lang for lang, _ in sample})
     if not languages:
-        return Model([], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0, np.uint64), steps)
+        return Model([], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0, np.uint64))
     rng = np.random.default_rng(seed)
     # Stretches of 6 to 18 words of one text; their random order makes code-switched chains.
     stretches = []
@@ -225,7 +210,7 @@ def train(
         gap = truth[flat] - p[mask]
         by_type = np.stack([np.bincount(code[flat], gap[:, k], len(words)) for k in range(len(languages))], axis=1)
         trainer.step(scattered(by_type, numbers, begin, size), seen - expected)
-    return Model(languages, trainer.weights.astype(np.float32), trainer.change.astype(np.float32), lexicon, steps)
+    return Model(languages, trainer.weights.astype(np.float32), trainer.change.astype(np.float32), lexicon)
 
 
 def identify(
