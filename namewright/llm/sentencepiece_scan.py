@@ -4,12 +4,16 @@ A document of up to ``giant_chars`` characters is encoded by its task.  A longer
 out in chunks.  A chunk's boundary state is how far a piece that began in the chunk before
 reaches into it (0 up to the longest piece less one); the chunk yields the matrix of best scores
 from each state at its left end to each state at its right end.  Max-plus products of these
-matrices are associative; a running product gives each chunk its exact scores at the left end.
-With them every chunk finds, by itself, the best path into each right state, the left state
-that it comes from and its ids; following the left states from the document's end
+matrices are associative: they are multiplied up a tree of ``fan`` matrices a node, and vectors of scores come back
+down it, so that each chunk gets its exact scores at the left end and no task sees more than ``fan`` chunks of a document.
+With them every chunk finds, by itself, the best path into each right state and the left state
+that it comes from; following the left states from the document's end
 picks one path of each chunk.  The result is that of one Viterbi pass over the document,
 ties included.
 
+No piece crosses certain positions (a space after another character, line breaks).  What a chunk holds between the first and
+the last of them is the same on every path: it is encoded once, and only the ends are traced again.
+
 Texts are whole documents.  Null and empty texts have no ids and decode to an empty text; a
 null id stays null and repeated rows are encoded once each; other columns are ignored.
 Round trips are exact unless a text holds U+2581, which decodes to a space.
@@ -17,9 +21,12 @@ Round trips are exact unless a text holds U+2581, which decodes to a space.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +34,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from namewright.llm import unigram
 from namewright.llm.batches import slices
+from namewright.llm.storage import drop, keep
 from namewright.llm.unigram import LOW, SPACE, Unigram
 
 SCHEMA = "doc_id long, ids binary, score long"
@@ -56,13 +64,18 @@ def safe_cuts(text: str, n: int, model: Unigram) -> tuple[int, int] | None:
     return first, last
 
 
-def transfer(text: str, n: int, model: Unigram) -> list[list[int]]:
-    """Best score from each left state to each right state of the chunk ``text[:n]``; the rest of text is what follows it."""
-    size = model.longest
+def ends(best: list[int], n: int, size: int) -> list[int]:
+    """Scores of the ``size`` states at position n: a piece that ends there or beyond."""
+    out = best[n : n + size]
+    return out + [LOW] * (size - len(out))
 
-    def ends(best: list[int], n: int) -> list[int]:
-        out = best[n : n + size]
-        return out + [LOW] * (size - len(out))
+
+def transfer(text: str, n: int, model: Unigram, middle: int | None = None) -> np.ndarray:
+    """Best score from each left state to each right state of the chunk ``text[:n]``; the rest of text is what follows it.
+
+    ``middle`` is the score between the chunk's first and last safe cut, if it is known already.
+    """
+    size = model.longest
 
     def from_state(s: int, text: str, n: int) -> list[int]:
         # A state past the chunk's end stays past the end of the next one's begin.
@@ -70,40 +83,46 @@ def transfer(text: str, n: int, model: Unigram) -> list[list[int]]:
 
     cuts = safe_cuts(text, n, model)
     if cuts is None:
-        return [ends(from_state(s, text, n), n) for s in range(size)]
+        return np.array([ends(from_state(s, text, n), n, size) for s in range(size)], np.int64)
     a, b = cuts
-    middle = model.encode(text[a:b])[0]
-    right = ends(from_state(0, text[b:], n - b), n - b)
-    left = [from_state(s, text[:a], a)[a] for s in range(size)]
-    return [[x + middle + r if x > LOW and r > LOW else LOW for r in right] for x in left]
-
+    right = np.array(ends(from_state(0, text[b:], n - b), n - b, size), np.int64)
+    left = np.array([from_state(s, text[:a], a)[a] for s in range(size)], np.int64)
+    score = model.encode(text[a:b])[0] if middle is None else middle
+    return np.where((left[:, None] > LOW) & (right > LOW), left[:, None] + score + right, LOW)
 
-def times(row: list[int], matrix: list[list[int]]) -> list[int]:
-    """Max-plus product of a row vector and a matrix."""
-    return [max((x + m[k] for x, m in zip(row, matrix, strict=True) if x > LOW and m[k] > LOW), default=LOW) for k in range(len(row))]
 
+def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Max-plus product of two matrices, or of a row vector and a matrix; associative."""
+    return np.maximum((left[..., :, None] + right).max(axis=-2), LOW)
 
-def product(left: list[list[int]], right: list[list[int]]) -> list[list[int]]:
-    """Max-plus product of two matrices; associative."""
-    return [times(row, right) for row in left]
 
+def paths(text: str, n: int, begin: list[int], final: bool, model: Unigram, middle: int | None = None) -> list[tuple[int, int, int, bytes, bytes]]:
+    """For each right state that can be reached: (state, left state of the best path, its score, ids).
 
-def paths(text: str, n: int, begin: list[int], final: bool, model: Unigram) -> list[tuple[int, int, bytes]]:
-    """For each right state that can be reached: (state, left state of the best path, ids)."""
-    best, last = model.forward(text, begin[: len(text) + 1], n)
-    out = []
-    for e in [0] if final else range(min(model.longest, len(text) - n + 1)):
-        if best[n + e] > LOW:
-            ids, at = model.spell(text, last, n + e)
-            out.append((e, at, struct.pack(f"<{len(ids)}I", *ids)))
-    return out
+    The ids are those before the chunk's first safe cut and those after its last one; the second is empty where there is none.
+    """
+    size = range(min(model.longest, len(text) - n + 1))
+    pack = lambda ids: struct.pack(f"<{len(ids)}I", *ids)
+    cuts = safe_cuts(text, n, model)
+    if cuts is None:
+        best, last = model.forward(text, begin[: len(text) + 1], n)
+        spelled = [(e, best[n + e], *model.spell(text, last, n + e)) for e in ([0] if final else size) if best[n + e] > LOW]
+        return [(e, at, score, pack(ids), b"") for e, score, ids, at in spelled]
+    a, b = cuts
+    best, last = model.forward(text[:a], begin[: a + 1], a)
+    ids, at = model.spell(text, last, a)
+    score = best[a] + (model.encode(text[a:b])[0] if middle is None else middle)
+    best, last = model.forward(text[b:], [0], n - b)
+    reached = [e for e in ([0] if final else size) if best[n - b + e] > LOW]
+    return [(e, at, score + best[n - b + e], pack(ids), pack(model.spell(text[b:], last, n - b + e)[0])) for e in reached]
 
 
 def encode_documents(
     docs: DataFrame,
     model_path: str | None = None,
-    giant_chars: int = 1 << 17,
-    chunk_chars: int = 1 << 15,
+    giant_chars: int = 1 << 13,
+    chunk_chars: int = 1 << 12,
+    fan: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -129,47 +148,55 @@ def encode_documents(
         kinds = pa.schema([("row", pa.string()), ("doc_id", pa.int64()), ("k", pa.int32()), ("n", pa.int32()), ("final", pa.bool_()), ("part", pa.string())])
         model = unigram.load(path)
         chunk = max(chunk_chars, model.longest)
-        for batch in slices(batches):
+        for batch in slices(batches, "text", PART_BYTES):
             for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
                 text = model.normal(text)
+                made = []
                 for k, at in enumerate(range(0, len(text), chunk)):
-                    part = text[at : at + chunk + model.longest - 1]
                     n = min(chunk, len(text) - at)
-                    yield pa.RecordBatch.from_pylist([{"row": row, "doc_id": doc, "k": k, "n": n, "final": at + n == len(text), "part": part}], kinds)
+                    made.append({"row": row, "doc_id": doc, "k": k, "n": n, "final": at + n == len(text), "part": text[at : at + chunk + model.longest - 1]})
+                    if len(made) * chunk > PART_BYTES or made[-1]["final"]:
+                        yield pa.RecordBatch.from_pylist(made, kinds)
+                        made = []
 
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each chunk's matrix, the ids and score between its safe cuts, and the text at its ends."""
         model = unigram.load(path)
-        for batch in batches:
-            flat = [[x for r in transfer(t, n, model) for x in r] for t, n in zip(batch.column("part").to_pylist(), batch.column("n").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("k"), pa.array(flat, pa.list_(pa.int64()))], ["row", "k", "matrix"])
-
-    def run(table: pa.Table) -> pa.Table:
-        """Scores at the left end of every chunk of one document."""
-        table = table.sort_by("k")
-        size = unigram.load(path).longest
-        at, begins = [0] + [LOW] * (size - 1), []
-        for flat in table.column("matrix").to_pylist():
-            begins.append(at)
-            at = times(at, [flat[i : i + size] for i in range(0, len(flat), size)])
-        return pa.table({"row": table.column("row"), "k": table.column("k"), "begin": pa.array(begins, pa.list_(pa.int64()))})
+        for batch in slices(batches, "part", PART_BYTES):
+            texts, sizes = batch.column("part").to_pylist(), batch.column("n").to_pylist()
+            cuts = [safe_cuts(t, n, model) for t, n in zip(texts, sizes, strict=True)]
+            middle = model.encode_texts([t[c[0] : c[1]] if c else "" for t, c in zip(texts, cuts, strict=True)])
+            made = [transfer(t, n, model, m[0]).tobytes() for t, n, m in zip(texts, sizes, middle, strict=True)]
+            # What lies between the cuts is not needed again: a line break stands for it, at which the ends are cut alike.
+            outer = [t if c is None else t[: c[0]] + ("\n" if c[1] > c[0] else "") + t[c[1] :] for t, c in zip(texts, cuts, strict=True)]
+            rest = [n if c is None else n - (c[1] - c[0]) + (c[1] > c[0]) for n, c in zip(sizes, cuts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("row", "doc_id", "k", "final")), pa.array(outer, pa.string()), pa.array(rest, pa.int32()),
+                    pa.array([m[0] for m in middle], pa.int64()), pa.array([m[1] for m in middle], pa.binary()), pa.array(made, pa.binary()),
+                ],
+                ["row", "doc_id", "k", "final", "ends", "n", "middle", "ids", "matrix"],
+            )
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram.load(path)
-        kind = pa.list_(pa.struct([("to", pa.int32()), ("from", pa.int32()), ("ids", pa.binary())]))
+        kind = pa.list_(pa.struct([("to", pa.int32()), ("from", pa.int32()), ("score", pa.int64()), ("before", pa.binary()), ("after", pa.binary())]))
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("part", "n", "begin", "final")]
-            made = [[{"to": e, "from": s, "ids": i} for e, s, i in paths(t, n, b, f, model)] for t, n, b, f in zip(*cols, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "k")), pa.array(made, kind)], ["row", "doc_id", "k", "paths"])
-
-    def join(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("k", "descending")])
-        model, state, parts = unigram.load(path), 0, []
-        for made in table.column("paths").to_pylist():
+            cols = [batch.column(c).to_pylist() for c in ("ends", "n", "begin", "final", "middle")]
+            found = [paths(t, n, np.frombuffer(b, np.int64).tolist(), f, model, m) for t, n, b, f, m in zip(*cols, strict=True)]
+            made = [[dict(zip(("to", "from", "score", "before", "after"), p, strict=True)) for p in f] for f in found]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "k")), pa.array(made, kind)], ["row", "k", "paths"])
+
+    def join(payload: pa.Table, traced: pa.Table) -> pa.Table:
+        """The ids of one document: in each chunk the path into the state that the chunk behind it comes from."""
+        payload, traced = payload.sort_by([("k", "descending")]), traced.sort_by([("k", "descending")])
+        state, score, parts = 0, None, []
+        for made, ids in zip(traced.column("paths").to_pylist(), payload.column("ids").to_pylist(), strict=True):
             chosen = next(p for p in made if p["to"] == state)
-            parts.append(chosen["ids"])
+            score = chosen["score"] if score is None else score
+            parts += [chosen["after"], ids, chosen["before"]]
             state = chosen["from"]
-        ids = b"".join(reversed(parts))
-        return pa.table({"doc_id": pa.array([table.column("doc_id")[0].as_py()], pa.int64()), "ids": pa.array([ids], pa.binary()), "score": pa.array([path_score(ids, model)], pa.int64())})
+        return pa.table({"doc_id": payload.column("doc_id")[:1].cast(pa.int64()), "ids": pa.array([b"".join(reversed(parts))], pa.binary()), "score": pa.array([score], pa.int64())})
 
     chunks = (
         rows.where(giant)
@@ -177,13 +204,58 @@ def encode_documents(
         .mapInArrow(deal, "row string, doc_id long, k int, n int, final boolean, part string")
         .repartition(F.col("row"), F.col("k"))
     )
-    begins = chunks.mapInArrow(matrices, "row string, k int, matrix array<long>").groupBy("row").applyInArrow(run, "row string, k int, begin array<long>")
-    traced = chunks.join(begins, ["row", "k"]).select("row", "doc_id", "k", "n", "final", "part", "begin")
-    traced = traced.mapInArrow(trace, "row string, doc_id long, k int, paths array<struct<to:int,from:int,ids:binary>>")
-    giants = traced.groupBy("row").applyInArrow(join, SCHEMA)
+    chunks = keep(chunks.mapInArrow(summarise, "row string, doc_id long, k int, final boolean, ends string, n int, middle long, ids binary, matrix binary"))
+    begins = scan(chunks.select("row", "k", "matrix"), fan)
+    traced = chunks.join(begins, ["row", "k"]).select("row", "k", "ends", "n", "final", "middle", "begin")
+    traced = traced.mapInArrow(trace, "row string, k int, paths array<struct<to:int,from:int,score:long,before:binary,after:binary>>")
+    giants = chunks.select("row", "doc_id", "k", "ids").groupBy("row").cogroup(traced.groupBy("row")).applyInArrow(join, SCHEMA)
     return rows.where(~giant).mapInArrow(whole, SCHEMA).unionByName(giants)
 
 
+def scan(matrices: DataFrame, fan: int) -> DataFrame:
+    """(row, k, begin): the scores of all states before matrix k of a row, a prefix of the max-plus product.
+
+    Up a tree, each node multiplies ``fan`` matrices; down it, each hands its own prefix on, vector by matrix.
+    """
+
+    def ordered(table: pa.Table) -> list[np.ndarray]:
+        flat = [np.frombuffer(m, np.int64) for m in table.column("matrix").to_pylist()]
+        size = math.isqrt(len(flat[0]))
+        return [m.reshape(size, size) for m in flat]
+
+    def up(table: pa.Table) -> pa.Table:
+        table = table.sort_by("k")
+        made = reduce(product, ordered(table)).tobytes()
+        return pa.table({"row": table.column("row")[:1], "k": pa.array([table.column("k")[0].as_py() // fan], pa.int32()), "matrix": pa.array([made], pa.binary())})
+
+    def down(table: pa.Table) -> pa.Table:
+        table = table.sort_by("k")
+        own, begins = ordered(table), []
+        at = np.array([0] + [LOW] * (len(own[0]) - 1), np.int64)
+        if table.column("start")[0].is_valid:
+            at = np.frombuffer(table.column("start")[0].as_py(), np.int64)
+        for matrix in own:
+            begins.append(at.tobytes())
+            at = product(at, matrix)
+        return pa.table({"row": table.column("row"), "k": table.column("k"), "begin": pa.array(begins, pa.binary())})
+
+    most = matrices.agg(F.max("k")).first()[0] or 0
+    node = F.floor(F.col("k") / fan).cast("int")
+    levels = [matrices]
+    while fan ** len(levels) <= most:
+        levels.append(keep(levels[-1].groupBy("row", node).applyInArrow(up, "row string, k int, matrix binary")))
+    begins = None
+    for level in reversed(levels):
+        if begins is None:
+            started = level.select("row", "k", "matrix", F.lit(None).cast("binary").alias("start"))
+        else:
+            started = level.withColumn("node", node).join(begins.select("row", F.col("k").alias("node"), F.col("begin").alias("start")), ["row", "node"]).select("row", "k", "matrix", "start")
+        begins = started.groupBy("row", node).applyInArrow(down, "row string, k int, begin binary")
+    kept = keep(begins)
+    drop(*levels[1:])
+    return kept
+
+
 def path_score(ids: bytes, model: Unigram) -> int:
     """The score of a sequence of ids: each spelled character counts once."""
     total, pending = 0, 0
@@ -206,8 +278,6 @@ def decode_ids(encoded: DataFrame, model_path: str | None = None, ids_col: str =
     schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         model = unigram.load(path)
         spell = [n.replace(SPACE, " ").encode() for n in model.names]
         for b, i in model.byte.items():
