@@ -230,20 +230,16 @@ def chosen_rows(docs: DataFrame, wanted: DataFrame, width: int, made, kind: str)
 
 
 def packed(shingles) -> bytes:
-    """Forty bits of each shingle.  Within a pair of sets of n shingles two differ only there with probability n * n / 2**40, and
-    one match too many matters only at the very threshold.
-    """
+    """All 64 bits of each shingle's hash, ascending."""
     import numpy as np
 
-    return np.ascontiguousarray(shingles.view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+    return np.ascontiguousarray(shingles, "<u8").tobytes()
 
 
 def unpacked(raw: bytes):
     import numpy as np
 
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(raw, "<u8")
 
 
 def counted(shingles) -> bytes | None:
@@ -281,8 +277,8 @@ def verified(docs: DataFrame, pairs: DataFrame, counts: DataFrame, width: int, p
         return 100 * np.minimum(x, y).sum() >= percent * np.maximum(x, y).sum()
 
     def exact(a: bytes, b: bytes) -> bool:
-        shared = len(np.intersect1d(unpacked(a), unpacked(b)))
-        return 100 * shared >= percent * ((len(a) + len(b)) // 5 - shared)
+        shared = len(np.intersect1d(unpacked(a), unpacked(b), assume_unique=True))
+        return 100 * shared >= percent * ((len(a) + len(b)) // 8 - shared)
 
     close = keep(tested(pairs, counts, possible))
     wanted = close.select(F.explode(F.array("doc", "other")).alias("doc")).distinct()
@@ -420,8 +416,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     more = many.join(sets, "doc").groupBy("region", "i", "j").applyInArrow(join, "a long, b long")
     links = links.unionByName(keep(more.distinct()))
     labels = components(links)
-    for table in (sets, counts, many, apart):
-        drop(table)
+    drop(sets, counts, many, apart)
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
