@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -471,6 +473,8 @@ def train(labelled: tuple[str, ...] = LABELLED, rounds: int = 60) -> Tagger:
 
 
 WORD = re.compile(r"\S+")
+
+
 def model_spans(text: str, places: list[tuple[int, int]], labels: list[str]) -> list[Span]:
     """Labelled words as spans, without punctuation at their ends."""
     found: list[list] = []
@@ -516,7 +520,9 @@ def all_spans(texts: list[str | None], tagger: Tagger) -> list[list[Span]]:
         added[i] = model_spans(texts[i], places, kinds)
     for i, spans in added.items():
         base = out[i]
-        spans = [s for s in spans if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+        starts, ends = [b[0] for b in base], list(accumulate((b[1] for b in base), max))
+        # Of the base spans that start before a span's end, the one that reaches farthest tells whether any overlaps.
+        spans = [s for s in spans if not (k := bisect_left(starts, s[1])) or ends[k - 1] <= s[0]]
         out[i] = sorted(base + spans, key=lambda s: (s[0], KINDS.index(s[2])))
     return out
 

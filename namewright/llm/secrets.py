@@ -89,8 +89,18 @@ def scan(text: str, automaton) -> list[tuple[str, int, int, str]]:
     if not found:
         return []
     found.sort()
-    shift = (lambda b: b) if len(raw) == len(text) else (lambda b: len(raw[:b].decode("utf-8", "surrogatepass")))
-    return [(KINDS[k], shift(a), shift(b), raw[a:b].decode("ascii")) for a, k, b in found]
+    place = places(raw, sorted({p for a, _, b in found for p in (a, b)})) if len(raw) != len(text) else None
+    return [(KINDS[k], place[a] if place else a, place[b] if place else b, raw[a:b].decode("ascii")) for a, k, b in found]
+
+
+def places(raw: bytes, offsets: list[int]) -> dict[int, int]:
+    """The code points before each of ascending byte offsets, in one pass."""
+    out, at, n = {}, 0, 0
+    for offset in offsets:
+        n += len(raw[at:offset].decode("utf-8", "surrogatepass"))
+        at = offset
+        out[offset] = n
+    return out
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
