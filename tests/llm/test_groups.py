@@ -1,6 +1,7 @@
 """Jaccard join, vector search, near vectors, archives and the pipeline against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -128,7 +129,7 @@ def test_bucket_counts_never_understate():
         shared = len(np.intersect1d(a, b))
         x, y = (np.frombuffer(jaccard_join.counted(s), "<u2").astype(int) for s in (a, b))
         assert np.minimum(x, y).sum() * (len(a) + len(b) - shared) >= shared * np.maximum(x, y).sum()
-        assert (jaccard_join.unpacked(jaccard_join.packed(a)) == a >> np.uint64(24)).all()
+        assert (jaccard_join.unpacked(jaccard_join.packed(a)) == a).all()
 
 
 def test_shingle_sizes():
@@ -148,7 +149,7 @@ def test_maxscore_equals_brute_force(spark):
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(900, None), (901, [1.0, None]), (902, [float("nan")]), (903, [float("inf")]), (904, []), (905, [0.5, 0.25]), (None, [1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
     found = {}
-    for r in maxscore.search(df, df.where("vec_id % 20 = 0"), shard_rows=100, block_rows=8).collect():
+    for r in maxscore.search(df, df.where("vec_id % 20 = 0"), shard_rows=100).collect():
         found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     full = {i: np.zeros(12, int) for i in [*range(700), 904, 905]}
     for i in range(700):
@@ -163,6 +164,67 @@ def test_maxscore_equals_brute_force(spark):
     assert maxscore.search(few, few.where("vec_id = 0")).count() == 4
 
 
+def plain_search(rows, k=20):
+    """Exact search in Python's integers."""
+    full = {i: [math.floor(64 * v) for v in x] for i, x in rows}
+    out = {}
+    for q in full:
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(full[q], full[i])), i) for i in full if i != q)
+            out[q] = [(r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)]
+    return out
+
+
+def searched(df, **options):
+    out = {}
+    for r in maxscore.search(df, df.where("vec_id % 20 = 0"), **options).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {q: sorted(found) for q, found in out.items()}
+
+
+@pytest.mark.parametrize("size", [1e3, 1e6, 3e8, 1e9])
+def test_large_components_stay_exact(spark, size):
+    rng = np.random.default_rng(int(size))
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(90, 3)) * size / 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = plain_search(rows)
+    if any(abs(s) >= 2**63 for found in expected.values() for *_, s in found):
+        with pytest.raises(Exception, match="does not fit a long"):
+            searched(df, shard_rows=30)
+    else:
+        assert searched(df, shard_rows=30) == expected
+
+
+def test_components_that_no_long_holds(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [2e300, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 2"):
+        searched(df)
+
+
+def test_search_with_clashing_columns_ties_and_repeats(spark):
+    rows = [(i % 30, [float(i % 30 % 4), 1.0], "x", 1, 2, 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, score int, shard int, v int")
+    found = searched(df)
+    assert {q: len(v) for q, v in found.items()} == {0: 20, 20: 20}
+    assert [(i, s) for _, i, s in found[0]][:4] == [(1, 4096), (1, 4096), (2, 4096), (2, 4096)]
+
+
+def test_thresholds_rise_and_change_nothing():
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.normal(size=(6000, 24)) * 64).astype(np.int64)
+    x[rng.random(x.shape) < 0.5] = 0
+    shard, asked = maxscore.Shard(np.arange(6000), x), np.arange(0, 6000, 20)
+    first = maxscore.Shard(np.arange(2000), x[:2000]).best(asked, x[asked], np.full(len(asked), -np.inf), 20)
+    fresh = shard.best(asked, x[asked], np.full(len(asked), -np.inf), 20)
+    begun = shard.best(asked, x[asked], first.threshold, 20)
+    assert (first.threshold <= fresh.threshold).all() and (first.threshold < fresh.threshold).any()
+    for a, b in ((fresh.owner, begun.owner), (fresh.ids, begun.ids), (fresh.score, begun.score)):
+        assert (a == b).all()
+    full = x[asked] @ x.T
+    full[np.arange(len(asked)), asked] = -(1 << 60)
+    assert (np.sort(full, axis=1)[:, -20:][:, ::-1].ravel() == fresh.score).all()
+
+
 # ---- near vectors
 
 
@@ -173,7 +235,7 @@ def test_near_vectors_against_brute_force(spark):
     x[7] = x[3]
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(2000, None), (2001, [0.0] * 16), (2002, [1.0, None]), (2003, [float("nan")] * 16), (2004, [1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
-    found = {r.vec_id: r for r in multi_index.near_vectors(df, block_rows=64).collect()}
+    found = {r.vec_id: r for r in multi_index.near_vectors(df, block_rows=64, cell_rows=16).collect()}
     u = x / np.linalg.norm(x, axis=1)[:, None]
     link = u @ u.T >= 0.9
     np.fill_diagonal(link, False)
@@ -187,6 +249,49 @@ def test_near_vectors_against_brute_force(spark):
     assert multi_index.near_vectors(df.where("false")).count() == 0
 
 
+def test_every_width_links_with_its_own(spark):
+    """Two widths with neighbours each, one of few vectors, ties at the threshold, clashing columns and repeated rows."""
+    rng = np.random.default_rng(1)
+    base = {w: rng.normal(size=(12, w)) for w in (8, 5)}
+    rows = [(i, [float(v) for v in base[w][i % 12] + rng.normal(size=w) * 0.2]) for i, w in enumerate(rng.choice([8, 8, 8, 5], 600).tolist())]
+    rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(5)] + [(1010, [-3.0]), (1011, [5.0]), (1012, [0.5]), (1013, [])]
+    # At exactly 0.9 and one step below it.
+    rows += [(2000, [1.0, 0.0, 0.0]), (2001, [0.9, math.sqrt(1 - 0.81), 0.0]), (2002, [0.9 - 1e-7, 0.0, math.sqrt(1 - (0.9 - 1e-7) ** 2)])]
+    df = spark.createDataFrame([(i, v, "x", 1, 2, 3.0) for i, v in rows], "vec_id long, embedding array<double>, id string, n_links int, cell int, weight double").repartition(3)
+    found = {r.vec_id: r for r in multi_index.near_vectors(df, recall=1.0, cell_rows=40, block_rows=50).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if len(v)}
+    links = [(a, b) for a in unit for b in unit if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9]
+    counts = {i: sum(i in p for p in links) for i, _ in rows}
+    labels = union_find([i for i, _ in rows], links)
+    sure = [i for i, _ in rows if i < 2000]
+    assert {i: (found[i].n_links, found[i].component_id, found[i].kept) for i in sure} == {i: (counts[i], labels[i], labels[i] == i) for i in sure}
+    assert found[1000].n_links == 4 and found[1011].n_links == 1 and found[1010].n_links == 0
+    assert found[2002].n_links == 0
+
+
+def test_codes_never_decide_wrongly():
+    rng = np.random.default_rng(4)
+    unit = multi_index.unit_rows(rng.normal(size=(60, 64)))
+    unit = multi_index.unit_rows(unit[rng.integers(0, 60, 400)] + rng.normal(size=(400, 64)) * 0.045)
+    true = unit @ unit.T >= 0.9
+    i, j, certain = (np.concatenate(x) for x in zip(*multi_index.pair_ranges([c.tobytes() for c in multi_index.encode(unit)], np.zeros(400, int), [[0]] * 400, 0, 0.9, None), strict=True))
+    assert true[i[certain], j[certain]].all() and 0 < certain.sum() < len(i)
+    assert set(zip(*(x.tolist() for x in np.nonzero(np.triu(true, 1))), strict=True)) <= set(zip(i.tolist(), j.tolist(), strict=True))
+
+
+def test_recall_with_hundreds_of_codewords(spark):
+    """Recall against brute force where each half has 256 codewords; pairs of cosine 0.9 to 0.96."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(3000, 32))
+    x = multi_index.unit_rows(centres[rng.integers(0, 3000, 8000)] + rng.normal(size=(8000, 32)) * 0.2)
+    grid = multi_index.fit(x, 256, 0.9, 0.97)
+    close = x @ x.T
+    i, j = np.nonzero(np.triu((close >= 0.9) & (close < 0.96), 1))
+    near = grid.near(x)
+    met = (near[i] == near[j][:, :1]).any(1) | (near[j] == near[i][:, :1]).any(1)
+    assert len(i) > 1000 and met.mean() >= 0.95 and grid.visits < grid.cells / 100
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(1)
     sample = rng.normal(size=(3000, 32))
