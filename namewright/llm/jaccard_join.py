@@ -360,12 +360,14 @@ def region_links(arrays: list, labels, percent: int, left=None) -> list[tuple[in
     return list({(min(p), max(p)) for p in out})
 
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
     """Per document: ``n_shingles`` and ``component_id``, the smallest id that it is connected with by links.
 
-    Two sets link when 100 * shared >= percent * union.
+    Two sets link when 100 * shared >= percent * union.  With ``carry``, a column of ``docs`` that comes along under its name, the id's
+    column is called ``row``; otherwise ``doc_id``.
     """
     spark = docs.sparkSession
+    extra = None if carry is None else docs.select(F.col(id_col).cast("long").alias("row"), carry)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     described = describe(docs, width)
     sketch = merged_sketch(described.where("part is not null"))
@@ -420,4 +422,5 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    found = own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return found if extra is None else found.withColumnRenamed("doc_id", "row").join(extra, "row")

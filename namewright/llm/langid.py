@@ -32,7 +32,7 @@ from namewright.llm.batches import slices
 from namewright.llm.crf import Trainer, chain_marginals, gathered, marginals, scattered
 
 UNKNOWN = "und"
-BITS = 17
+BITS = 19
 #: Text bytes whose words are scored at a time; the features of their distinct words take about a hundred times as much.
 PART_BYTES = 1 << 20
 
@@ -152,7 +152,7 @@ def sample_texts(docs: DataFrame, per_language: int) -> list[tuple[str, str]]:
 
 def train(
     docs: DataFrame,
-    per_language: int = 200,
+    per_language: int = 100,
     rounds: int = 25,
     chain_words: int = 24,
     seed: int = 0,

@@ -357,9 +357,12 @@ def test_pipeline_against_plain_stages(spark):
     rows = [(r.doc_id, r.text) for r in kept.collect()]
     assert 100001 not in {d for d, _ in rows} and len(rows) >= docs.count() - 3
     single = pipeline.near_duplicates(spark, kept, source)
-    labels = plain_groups([r for r in rows if r[0] is not None])
-    expected = sorted(d for d, (_, c) in labels.items() if d == c)
-    assert sorted(r.doc_id for r in single.where("doc_id is not null").collect()) == expected and single.where("doc_id is null").count() == 1
+    assert single.columns == docs.columns
+    # Rows in order of id, those without one last: the first of each group stays.
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    labels = plain_groups([(k, t) for k, (_, t) in enumerate(order)])
+    expected = [order[k] for k, (_, c) in labels.items() if k == c]
+    assert sorted(((r.doc_id, r.text) for r in single.collect()), key=str) == sorted(expected, key=str)
     clean = pipeline.secret_scan(spark, single, source)
     assert clean.count() == single.count()
     assert clean.where("doc_id = 100002").first().text == "[SECRET] but the of and to"
@@ -368,6 +371,25 @@ def test_pipeline_against_plain_stages(spark):
     assert [n for n, _ in pipeline.STAGES] == ["language_id", "jaccard_join", "secret_scan", "packing"]
 
 
+def test_rows_that_share_an_id_are_documents_each(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    one, two, three = ("the first text of all is here now", "another one that says something else entirely today", "a third that nobody has seen in this house")
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, ""), (3, ""), (None, two), (None, three), (None, three), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    found = sorted(((r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert found == sorted([(1, one), (1, two), (None, three), (3, ""), (3, ""), (4, None)], key=str)
+    assert pipeline.near_duplicates(spark, docs.where("false"), "").count() == 0
+
+
+def test_texts_of_no_language_go_by_their_score(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    source = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{source}/documents.parquet").where("lang is not null")
+    strange = spark.createDataFrame([(100001, "日本 漢字 仮名 文字 東京 京都", None, "s", 17), (100002, "привет мир это русский текст", None, "s", 28)], docs.schema)
+    kept = {r.doc_id for r in pipeline.language_id(spark, docs.unionByName(strange), source).collect()}
+    assert not kept & {100001, 100002} and len(kept) >= 0.99 * docs.count()
+
+
 def test_stages_keep_columns_with_clashing_names(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     names = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred int, component_id string, spans long, n long"
