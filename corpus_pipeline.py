@@ -10,28 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namewright.llm import jaccard_join, langid, packing, secrets
-from namewright.llm.storage import keep
+from namewright.llm.storage import drop, keep
 
-#: Texts whose best language has a lower mean probability over their words are rejected.
-LEAST_SCORE = 0.35
+#: Texts are rejected whose best language stands out from chance by less than this share of the way to certainty.
+LEAST_LEAD = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in which a language is found: texts without letters, and those that fit no language, go."""
+    """Keep documents in which a language is found: texts without letters, and those that fit no language, go.
+
+    The score of a text is the mean probability of its best language, for n learned languages 1 / n by chance.
+    """
     model = langid.train(docs.where(~langid.held_out()))
+    chance = 1 / max(1, len(model.languages))
     found = langid.identify(docs, model, keep_columns=tuple(docs.columns), names=("__language", "__score"))
-    return found.where((F.col("__language") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    return found.where((F.col("__language") != langid.UNKNOWN) & (F.col("__score") >= chance + LEAST_LEAD * (1 - chance))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of linked documents.
 
-    Documents without words are in no group and stay, as do those without an id; rows that repeat an id are one document.
+    Rows are what is grouped, not ids: rows that share an id and differ in their texts are documents each, and rows without an
+    id stand behind all others of their group.  Documents without words are in no group and stay.
     """
-    groups = keep(jaccard_join.near_groups(docs))
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    keyed = keep(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = jaccard_join.near_groups(keyed, id_col="__row", carry="doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    chosen = keep(groups.groupBy("component_id").agg(first).select(F.col("first.row").alias("__row")))
+    drop(groups)
+    return keyed.join(chosen, "__row", "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
