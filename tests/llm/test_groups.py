@@ -383,7 +383,7 @@ def test_rows_that_share_an_id_are_documents_each(spark):
 
 def test_texts_of_no_language_go_by_their_score(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
-    source = "/root/testdata/sf0.001"
+    source = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{source}/documents.parquet").where("lang is not null")
     strange = spark.createDataFrame([(100001, "日本 漢字 仮名 文字 東京 京都", None, "s", 17), (100002, "привет мир это русский текст", None, "s", 28)], docs.schema)
     kept = {r.doc_id for r in pipeline.language_id(spark, docs.unionByName(strange), source).collect()}
