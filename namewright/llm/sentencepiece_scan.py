@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,13 +85,15 @@ def transfer(text: str, n: int, model: Unigram, middle: int | None = None) -> np
         return np.array([ends(from_state(s, text, n), n, size) for s in range(size)], np.int64)
     a, b = cuts
     right = np.array(ends(from_state(0, text[b:], n - b), n - b, size), np.int64)
-    left = np.array([from_state(s, text[:a], a)[a] for s in range(size)], np.int64)
+    left = np.array(model.backward(text[:a])[:size], np.int64)  # the cut is not before the last state
     score = model.encode(text[a:b])[0] if middle is None else middle
     return np.where((left[:, None] > LOW) & (right > LOW), left[:, None] + score + right, LOW)
 
 
 def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Max-plus product of two matrices, or of a row vector and a matrix; associative."""
+    """Max-plus product of two matrices, or of a row vector and a matrix; also of many at once.  Associative."""
+    if left.ndim == right.ndim:
+        right = right[..., None, :, :]
     return np.maximum((left[..., :, None] + right).max(axis=-2), LOW)
 
 
@@ -121,7 +122,7 @@ def encode_documents(
     docs: DataFrame,
     model_path: str | None = None,
     giant_chars: int = 1 << 13,
-    chunk_chars: int = 1 << 12,
+    chunk_chars: int = 1 << 13,
     fan: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -188,15 +189,25 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "k")), pa.array(made, kind)], ["row", "k", "paths"])
 
     def join(payload: pa.Table, traced: pa.Table) -> pa.Table:
-        """The ids of one document: in each chunk the path into the state that the chunk behind it comes from."""
-        payload, traced = payload.sort_by([("k", "descending")]), traced.sort_by([("k", "descending")])
-        state, score, parts = 0, None, []
-        for made, ids in zip(traced.column("paths").to_pylist(), payload.column("ids").to_pylist(), strict=True):
+        """The ids of each document: in each chunk the path into the state that the chunk behind it comes from."""
+        order = [("row", "ascending"), ("k", "descending")]
+        payload, traced = payload.sort_by(order), traced.sort_by(order)
+        docs, ids, scores, before = [], [], [], None
+        state, parts = 0, []
+        columns = (payload.column("row").to_pylist(), payload.column("doc_id").to_pylist(), traced.column("paths").to_pylist(), payload.column("ids").to_pylist())
+        for row, doc, made, middle in zip(*columns, strict=True):
+            if row != before:
+                if before is not None:
+                    ids.append(b"".join(reversed(parts)))
+                docs.append(doc)
+                before, state, parts = row, 0, []
             chosen = next(p for p in made if p["to"] == state)
-            score = chosen["score"] if score is None else score
-            parts += [chosen["after"], ids, chosen["before"]]
+            if not parts:
+                scores.append(chosen["score"])
+            parts += [chosen["after"], middle, chosen["before"]]
             state = chosen["from"]
-        return pa.table({"doc_id": payload.column("doc_id")[:1].cast(pa.int64()), "ids": pa.array([b"".join(reversed(parts))], pa.binary()), "score": pa.array([score], pa.int64())})
+        ids += [b"".join(reversed(parts))] if docs else []
+        return pa.table({"doc_id": pa.array(docs, pa.int64()), "ids": pa.array(ids, pa.binary()), "score": pa.array(scores, pa.int64())})
 
     chunks = (
         rows.where(giant)
@@ -205,52 +216,67 @@ def encode_documents(
         .repartition(F.col("row"), F.col("k"))
     )
     chunks = keep(chunks.mapInArrow(summarise, "row string, doc_id long, k int, final boolean, ends string, n int, middle long, ids binary, matrix binary"))
-    begins = scan(chunks.select("row", "k", "matrix"), fan)
+    most, n = chunks.agg(F.max("k"), F.count("*")).first()
+    begins = scan(chunks.select("row", "k", "matrix"), fan, most or 0, n)
     traced = chunks.join(begins, ["row", "k"]).select("row", "k", "ends", "n", "final", "middle", "begin")
     traced = traced.mapInArrow(trace, "row string, k int, paths array<struct<to:int,from:int,score:long,before:binary,after:binary>>")
-    giants = chunks.select("row", "doc_id", "k", "ids").groupBy("row").cogroup(traced.groupBy("row")).applyInArrow(join, SCHEMA)
+    # Some documents at a time: a group holds about as many chunks whatever the table, or one document.
+    group = F.pmod(F.xxhash64("row"), F.lit(max(1, n // 256)))
+    giants = chunks.select("row", "doc_id", "k", "ids").groupBy(group).cogroup(traced.groupBy(group)).applyInArrow(join, SCHEMA)
     return rows.where(~giant).mapInArrow(whole, SCHEMA).unionByName(giants)
 
 
-def scan(matrices: DataFrame, fan: int) -> DataFrame:
+def scan(matrices: DataFrame, fan: int, most: int, n: int, nodes: int = 1024) -> DataFrame:
     """(row, k, begin): the scores of all states before matrix k of a row, a prefix of the max-plus product.
 
-    Up a tree, each node multiplies ``fan`` matrices; down it, each hands its own prefix on, vector by matrix.
+    Up a tree, each node multiplies ``fan`` matrices; down it, each hands its own prefix on, vector by matrix.  ``most`` is the largest
+    k, ``n`` the number of matrices; a task works on about ``nodes`` nodes at a time, all of them at once.
     """
 
-    def ordered(table: pa.Table) -> list[np.ndarray]:
-        flat = [np.frombuffer(m, np.int64) for m in table.column("matrix").to_pylist()]
-        size = math.isqrt(len(flat[0]))
-        return [m.reshape(size, size) for m in flat]
+    def of_nodes(table: pa.Table):
+        """The table by node, its matrices, and where its nodes begin and how many rows they have."""
+        table = table.sort_by([("row", "ascending"), ("k", "ascending")])
+        code = table.column("row").combine_chunks().dictionary_encode().indices.to_numpy()
+        node = table.column("k").to_numpy() // fan
+        flat = np.frombuffer(b"".join(table.column("matrix").to_pylist()), np.int64)
+        size = math.isqrt(len(flat) // len(code))
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (node[1:] != node[:-1])))
+        return table, flat.reshape(-1, size, size), first, np.diff(np.append(first, len(code)))
 
     def up(table: pa.Table) -> pa.Table:
-        table = table.sort_by("k")
-        made = reduce(product, ordered(table)).tobytes()
-        return pa.table({"row": table.column("row")[:1], "k": pa.array([table.column("k")[0].as_py() // fan], pa.int32()), "matrix": pa.array([made], pa.binary())})
+        table, matrix, first, count = of_nodes(table)
+        made = matrix[first]
+        for p in range(1, fan):
+            more = np.flatnonzero(count > p)
+            for part in np.array_split(more, 1 + len(more) // 256):
+                made[part] = product(made[part], matrix[first[part] + p])
+        k = table.column("k").to_numpy()[first] // fan
+        return pa.table({"row": table.column("row").take(pa.array(first)), "k": pa.array(k, pa.int32()), "matrix": pa.array([m.tobytes() for m in made], pa.binary())})
 
     def down(table: pa.Table) -> pa.Table:
-        table = table.sort_by("k")
-        own, begins = ordered(table), []
-        at = np.array([0] + [LOW] * (len(own[0]) - 1), np.int64)
-        if table.column("start")[0].is_valid:
-            at = np.frombuffer(table.column("start")[0].as_py(), np.int64)
-        for matrix in own:
-            begins.append(at.tobytes())
-            at = product(at, matrix)
-        return pa.table({"row": table.column("row"), "k": table.column("k"), "begin": pa.array(begins, pa.binary())})
-
-    most = matrices.agg(F.max("k")).first()[0] or 0
+        table, matrix, first, count = of_nodes(table)
+        begins = np.full(matrix.shape[:2], LOW)
+        begins[first, 0] = 0
+        given = table.column("start").combine_chunks()
+        if given.null_count == 0:
+            begins[first] = np.frombuffer(b"".join(given.take(pa.array(first)).to_pylist()), np.int64).reshape(len(first), -1)
+        for p in range(1, fan):
+            at = first[count > p] + p
+            begins[at] = product(begins[at - 1], matrix[at - 1])
+        return pa.table({"row": table.column("row"), "k": table.column("k"), "begin": pa.array([b.tobytes() for b in begins], pa.binary())})
+
     node = F.floor(F.col("k") / fan).cast("int")
+    group = F.pmod(F.xxhash64("row", node), F.lit(max(1, n // (fan * nodes))))
     levels = [matrices]
     while fan ** len(levels) <= most:
-        levels.append(keep(levels[-1].groupBy("row", node).applyInArrow(up, "row string, k int, matrix binary")))
+        levels.append(keep(levels[-1].groupBy(group).applyInArrow(up, "row string, k int, matrix binary")))
     begins = None
     for level in reversed(levels):
         if begins is None:
             started = level.select("row", "k", "matrix", F.lit(None).cast("binary").alias("start"))
         else:
             started = level.withColumn("node", node).join(begins.select("row", F.col("k").alias("node"), F.col("begin").alias("start")), ["row", "node"]).select("row", "k", "matrix", "start")
-        begins = started.groupBy("row", node).applyInArrow(down, "row string, k int, begin binary")
+        begins = started.groupBy(group).applyInArrow(down, "row string, k int, begin binary")
     kept = keep(begins)
     drop(*levels[1:])
     return kept

@@ -125,6 +125,19 @@ class Unigram:
                 best[i + 1], last[i + 1] = here + unknown, i
         return best, last
 
+    def backward(self, text: str) -> list[int]:
+        """Best score from each position of ``text`` to its end, over pieces that do not reach beyond it."""
+        n, score, longest = len(text), self.score, self.longest
+        best = [LOW] * n + [0]
+        for i in range(n - 1, -1, -1):
+            top = self.unknown + best[i + 1] if text[i] not in score else LOW
+            for j in range(i + 1, min(i + longest, n) + 1):
+                s = score.get(text[i:j])
+                if s is not None and s + best[j] > top:
+                    top = s + best[j]
+            best[i] = top
+        return best
+
     def spell(self, text: str, last: list[int], end: int) -> tuple[list[int], int]:
         """Ids of the best path that ends at ``end``, and the position at which it begins."""
         out: list[int] = []
