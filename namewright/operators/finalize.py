@@ -93,7 +93,7 @@ def components(keys: DataFrame, eligibility: DataFrame, decisions: DataFrame, se
     if catalogue is not None:
         public = checked_enrichment(catalogue).join(employers.select("resolution_key"), "resolution_key", "left_semi")
         anchor = public.groupBy("public_entity_id").agg(F.min("resolution_key").alias("key_a"))
-        links = public.join(anchor, "public_entity_id").where("resolution_key <> key_a").select(F.lit(0).alias("position"), "key_a", F.col("resolution_key").alias("key_b"))
+        links = public.join(anchor, "public_entity_id").where("resolution_key <> key_a").select("key_a", F.col("resolution_key").alias("key_b"))
     member = constrained_components(employers, accepted, links)
     full = member.join(employers, "resolution_key")
     if catalogue is not None:

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder of spark.checkpoint.dir and read back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.gettempdir()}/namewright-shared"
-    path = f"{root.rstrip('/')}/namewright/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from namewright.sources.shared import drop
+from namewright.sources.shared import keep as kept
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` is connected with.
 
     Nodes hook onto their smallest smaller neighbour, trees are flattened by pointer jumping, and edges between
-    different trees go on; the number of rounds is logarithmic.
+    different trees go on; the number of rounds is logarithmic.  What a round leaves behind is deleted.
     """
     edges = kept(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     labels = kept(edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("label", F.col("node")))
@@ -32,12 +24,17 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
         moved = True
         while moved:
             up = roots.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-            roots = kept(roots.join(up, "p", "left").select("u", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("m")))
-            moved = not roots.where("m").isEmpty()
-        labels = kept(labels.join(roots.select(F.col("u").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
+            flat = kept(roots.join(up, "p", "left").select("u", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("m")))
+            moved = not flat.where("m").isEmpty()
+            drop(roots)
+            roots = flat
+        named = kept(labels.join(roots.select(F.col("u").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
         half = edges.join(roots.select("u", "p"), "u", "left").select(F.coalesce("p", "u").alias("x"), "v")
         full = half.join(roots.select(F.col("u").alias("v"), "p"), "v", "left").select("x", F.coalesce("p", "v").alias("y"))
-        edges = kept(full.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
+        rest = kept(full.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
+        drop(edges, labels, roots)
+        edges, labels = rest, named
+    drop(edges)
     return labels
 
 
@@ -54,60 +51,46 @@ def legal_form(key: Column) -> Column:
     return out
 
 
-class Forest:
-    """Union-find that refuses to join sets whose legal forms are both known and have nothing in common."""
-
-    def __init__(self, forms: dict[str, str | None]):
-        self.parent = {k: k for k in forms}
-        self.size = dict.fromkeys(forms, 1)
-        self.forms = {k: {f} if f else set() for k, f in forms.items()}
-
-    def find(self, key: str) -> str:
-        root = key
-        while self.parent[root] != root:
-            root = self.parent[root]
-        while self.parent[key] != root:
-            self.parent[key], key = root, self.parent[key]
-        return root
-
-    def union(self, a: str, b: str, constrained: bool) -> bool:
-        """False if the constraint refuses."""
-        a, b = self.find(a), self.find(b)
-        if a == b:
-            return True
-        if constrained and self.forms[a] and self.forms[b] and not self.forms[a] & self.forms[b]:
-            return False
-        if self.size[a] < self.size[b]:
-            a, b = b, a
-        self.parent[b] = a
-        self.size[a] += self.size[b]
-        self.forms[a] |= self.forms[b]
-        return True
-
-
 def replay(edges: pd.DataFrame) -> pd.DataFrame:
-    """Links of one plain component in their order: (resolution_key, component, rules, blocked)."""
-    edges = edges.sort_values(["phase", "position", "key_a", "key_b"])
-    forest = Forest(dict(zip([*edges.key_a, *edges.key_b], [*edges.form_a, *edges.form_b], strict=True)))
-    accepted, blocked = [], 0
-    for phase, a, b, rule in zip(edges.phase, edges.key_a, edges.key_b, edges.decision_rule, strict=True):
-        if not forest.union(a, b, phase == 0):
+    """Links of one plain component in their order: (resolution_key, component, rules, blocked).
+
+    Keys are numbered in their order and legal forms are bits, so a set is an integer: the forms that it holds.  A link of phase 0 is
+    refused where both sets hold forms and share none.  A set is named by its smallest number, which is its smallest key.
+    """
+    edges = edges.sort_values(["phase", "key_a", "key_b"])
+    keys, number = np.unique(np.concatenate([edges.key_a, edges.key_b]).astype(object), return_inverse=True)
+    bit = {form: 1 << k for k, form in enumerate(sorted({f for f in (*edges.form_a, *edges.form_b) if f}))}
+    held = [0] * len(keys)
+    for n, form in zip(number.tolist(), [*edges.form_a, *edges.form_b], strict=True):
+        held[n] = bit.get(form, 0)
+    above, half = list(range(len(keys))), len(edges)
+
+    def top(n: int) -> int:
+        while above[n] != n:
+            above[n] = n = above[above[n]]
+        return n
+
+    blocked, used = 0, []
+    for a, b, phase, rule in zip(number[:half].tolist(), number[half:].tolist(), edges.phase.tolist(), edges.decision_rule.tolist(), strict=True):
+        x, y = top(a), top(b)
+        if phase == 0 and x != y and held[x] and held[y] and not held[x] & held[y]:
             blocked += 1
-        elif phase == 0:
-            accepted.append((a, rule))
-    rules: dict[str, set[str]] = {}
-    for a, rule in accepted:
-        rules.setdefault(forest.find(a), set()).add(rule)
-    keys = sorted(forest.parent)
-    smallest: dict[str, str] = {}
-    for k in keys:
-        smallest.setdefault(forest.find(k), k)
+            continue
+        low, high = min(x, y), max(x, y)
+        above[high] = low
+        held[low] |= held[high]
+        if phase == 0:
+            used.append((a, rule))
+    rules: dict[int, set[str]] = {}
+    for a, rule in used:
+        rules.setdefault(top(a), set()).add(rule)
+    roots = [top(n) for n in range(len(keys))]
     return pd.DataFrame(
         {
             "resolution_key": keys,
-            "component": [smallest[forest.find(k)] for k in keys],
-            "rules": ["|".join(sorted(rules.get(forest.find(k), ()))) for k in keys],
-            "blocked": [blocked if k == keys[0] else 0 for k in keys],
+            "component": [keys[r] for r in roots],
+            "rules": ["|".join(sorted(rules.get(r, ()))) for r in roots],
+            "blocked": [blocked if n == 0 else 0 for n in range(len(keys))],
         }
     )
 
@@ -116,18 +99,26 @@ def constrained_components(keys: DataFrame, decisions: DataFrame, public_links:
     """(resolution_key, component, rules, blocked) of every key.
 
     ``decisions`` (key_a, key_b, decision_rule) are applied in key order, each refused where it would join two
-    disjoint legal forms; ``public_links`` (position, key_a, key_b) follow unconditionally in catalogue order.  The
-    outcome depends on that order, so links are replayed in sequence, component by plain component: the constraint
-    only ever looks at one.  A component is the smallest key in it.
+    disjoint legal forms; ``public_links`` (key_a, key_b) follow, none of them refused, so that their own order
+    does not matter.  The outcome depends on the order of decisions, so links are replayed in sequence where it can matter: in plain
+    components of two legal forms or more.  All others are their own result.  The constraint only ever looks at one component.
+    A component is the smallest key in it.
     """
-    links = decisions.select("key_a", "key_b", "decision_rule", F.lit(0).alias("phase"), F.lit(0).cast("long").alias("position"))
+    links = decisions.select("key_a", "key_b", "decision_rule", F.lit(0).alias("phase"))
     if public_links is not None:
-        links = links.unionByName(public_links.select("key_a", "key_b", F.lit("").alias("decision_rule"), F.lit(1).alias("phase"), F.col("position").cast("long")))
+        links = links.unionByName(public_links.select("key_a", "key_b", F.lit("").alias("decision_rule"), F.lit(1).alias("phase")))
     for side in "ab":
         links = links.join(keys.select(F.col("resolution_key").alias(f"key_{side}")), f"key_{side}", "left_semi")
     links = kept(links.withColumns({"form_a": legal_form(F.col("key_a")), "form_b": legal_form(F.col("key_b"))}))
     plain = connected(links, "key_a", "key_b").withColumnRenamed("node", "key_a")
-    joined = links.join(plain, "key_a").groupBy("label").applyInPandas(replay, "resolution_key string, component string, rules string, blocked int")
+    # Only a component in which two legal forms meet can hold a refused link; all others are as they are, and no task sees them whole.
+    named = kept(links.join(plain, "key_a"))
+    forms = F.explode(F.array_compact(F.array("form_a", "form_b")))
+    mixed = kept(named.select("label", forms.alias("form")).groupBy("label").agg(F.count_distinct("form").alias("n")).where("n > 1").select("label"))
+    replayed = named.join(mixed, "label", "left_semi").groupBy("label").applyInPandas(replay, "resolution_key string, component string, rules string, blocked int")
+    rules = named.join(mixed, "label", "left_anti").where("phase = 0").groupBy("label").agg(F.array_join(F.array_sort(F.collect_set("decision_rule")), "|").alias("rules"))
+    simple = plain.join(mixed, "label", "left_anti").join(rules, "label", "left")
+    joined = simple.select(F.col("key_a").alias("resolution_key"), F.col("label").alias("component"), "rules", F.lit(0).alias("blocked")).unionByName(replayed)
     return keys.select("resolution_key").join(joined, "resolution_key", "left").select(
         "resolution_key", F.coalesce("component", "resolution_key").alias("component"), F.coalesce("rules", F.lit("")).alias("rules"), F.coalesce("blocked", F.lit(0)).alias("blocked")
     )

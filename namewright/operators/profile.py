@@ -55,9 +55,78 @@ def support_band(support: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, *columns: str) -> DataFrame:
-    """An order-free digest of rows: their number, and sum and exclusive-or of their hashes."""
-    h = F.xxhash64(*columns)
-    return df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("xor"), F.sum(F.pmod(h, F.lit(1 << 31))).alias("total"))
+    """An order-free digest of rows: their number, and sum and exclusive-or of sixty bits of their SHA-256."""
+    text = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns))
+    h = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
+    return df.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("xor"), F.coalesce(F.sum(F.pmod(h, F.lit(1 << 31))), F.lit(0)).alias("total"))
+
+
+def counters(df: DataFrame, *columns: str) -> DataFrame:
+    """(counter, value, n): how often each value of each column occurs, in one pass."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("counter"), F.col(c).cast("string").alias("value")) for c in columns))
+    return df.select(F.explode(pairs).alias("p")).groupBy("p.counter", "p.value").agg(F.count("*").alias("n"))
+
+
+def weighted_summary(df: DataFrame, value: str, weight: str) -> DataFrame:
+    """Count, minimum, nearest-rank median and 95th percentile, maximum of ``value``, each row counted ``weight`` times."""
+    by_value = df.groupBy(F.col(value).alias("v")).agg(F.sum(weight).alias("w")).where("w > 0")
+    # One row a distinct value: what is ranked in one task are the values of a counter, not rows.
+    order = Window.orderBy("v")
+    placed = by_value.withColumns({"upto": F.sum("w").over(order), "total": F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    at = lambda p: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(p)), F.col("v")))
+    return placed.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n"), F.min("v").alias("minimum"), at(0.5).alias("p50"), at(0.95).alias("p95"), F.max("v").alias("maximum"))
+
+
+#: What is counted of each stage's table: single columns, pairs of columns, and summaries of numbers.
+COUNTED: dict[str, tuple[str, ...]] = {
+    "preprocessed": ("route", "route_reason", "address_signal_strength", "occupation_signal_strength", "is_blank", "is_numeric_only", "possible_truncation", "has_corporate_suffix"),
+    "resolved": ("resolution_status", "resolution_method", "resolution_reason"),
+    "resolution_keys": ("representative_route", "possible_truncation"),
+    "candidate_pair_features": ("numeric_relation", "blocking_method_count", "same_first_token"),
+    "pair_resolution_decisions": ("decision_status", "decision_rule"),
+    "employer_eligibility": ("eligibility_status", "eligibility_rule"),
+    "orthographic_pair_decisions": ("orthographic_status", "orthographic_rule", "orthographic_evidence", "edit_operation"),
+    "residual_relationship_profile": ("primary_family", "numeric_relation"),
+    "distinctive_name_evidence": ("shared_distinctive_token_count", "has_shared_exact_token", "has_shared_distinctive_token"),
+    "multi_evidence_assessment": ("assessment_family", "has_numeric_risk", "has_structural_exact_relation"),
+    "employer_resolution_final": ("resultado_final", "metodo_resolucion", "confianza_resolucion", "confianza_sector", "sector_propuesto", "metodo_sector"),
+    "corporate_master": ("resolution_status", "resolution_method", "public_validation_status", "confidence_level", "sector"),
+    "corporate_aliases": ("alias_method",),
+    "canonical_quality": ("quality_status", "quality_reason", "promotion_eligible"),
+}
+CROSSED: dict[str, tuple[tuple[str, str], ...]] = {
+    "preprocessed": (("route", "address_signal_strength"), ("route", "occupation_signal_strength")),
+    "candidate_pair_features": (("numeric_relation", "blocking_method_count"),),
+    "residual_relationship_profile": (("primary_family", "numeric_relation"), ("primary_family", "orthographic_evidence")),
+    "employer_resolution_final": (("resultado_final", "eligibility_status"), ("resultado_final", "confianza_sector")),
+    "canonical_quality": (("resolution_status", "quality_status"),),
+}
+SUMMED: dict[str, tuple[str, ...]] = {
+    "resolution_keys": ("source_row_frequency", "token_count"),
+    "candidate_pair_features": ("length_ratio", "common_prefix_ratio", "token_jaccard", "char_ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio"),
+    "distinctive_name_evidence": ("shared_exact_token_count", "shared_distinctive_token_count"),
+    "corporate_master": ("component_key_count", "source_row_count"),
+}
+
+
+def pair_counts(df: DataFrame, pairs: tuple[tuple[str, str], ...]) -> DataFrame:
+    """(counter, value, n) of pairs of columns; values are joined by "|"."""
+    joined = {f"{a} x {b}": F.concat_ws("|", F.coalesce(F.col(a).cast("string"), F.lit("")), F.coalesce(F.col(b).cast("string"), F.lit(""))) for a, b in pairs}
+    return counters(df.select(*(v.alias(k) for k, v in joined.items())), *(f"`{k}`" for k in joined)).withColumn("counter", F.translate("counter", "`", ""))
+
+
+def metrics(name: str, df: DataFrame) -> dict[str, object]:
+    """Counters, cross-tabs and summaries of a stage's table, for its metrics file."""
+    out: dict[str, object] = {}
+    for kind, rows in (("counters", counters(df, *COUNTED[name]) if name in COUNTED else None), ("crosstabs", pair_counts(df, CROSSED[name]) if name in CROSSED else None)):
+        if rows is not None:
+            found: dict[str, dict[str, int]] = {}
+            for r in rows.collect():
+                found.setdefault(r["counter"], {})[r["value"] if r["value"] is not None else ""] = r["n"]
+            out[kind] = found
+    if name in SUMMED:
+        out["summaries"] = {c: {k: v for k, v in interpolated(df, c).first().asDict().items()} for c in SUMMED[name] if c in df.columns}
+    return out
 
 
 def duplicates(df: DataFrame, *key: str) -> DataFrame:
@@ -65,9 +134,13 @@ def duplicates(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def out_of_order(df: DataFrame, partition: str, order: str) -> DataFrame:
-    """Rows that repeat the one before them."""
-    return df.withColumn("before", F.lag(order).over(Window.partitionBy(partition).orderBy(order))).where(F.col("before") == F.col(order))
+def out_of_order(df: DataFrame, partition: str, *order: str) -> DataFrame:
+    """Rows that do not follow the one before them strictly: within ``partition``, they repeat its ``order`` columns."""
+    window = Window.partitionBy(partition).orderBy(*order)
+    same = F.lit(True)
+    for c in order:
+        same = same & F.lag(c).over(window).eqNullSafe(F.col(c))
+    return df.withColumn("__repeats", same & (F.row_number().over(window) > 1)).where("__repeats").drop("__repeats")
 
 
 def profile(preprocessed: DataFrame) -> DataFrame:

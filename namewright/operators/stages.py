@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,28 +33,39 @@ class Store:
     def read(self, name: str, *columns: str) -> DataFrame:
         return files.read_parquet(self.spark, self.path(name), *columns)
 
-    def reference(self, name: str) -> str:
-        return f"{self.root}/reference/{name}.csv"
+    def version(self) -> str | None:
+        """The folder of the current references: one pointer names both files, so they always belong together."""
+        text = files.read_text(self.spark, f"{self.root}/reference/CURRENT")
+        return text.strip() if text else None
 
-    def references(self, version: str = "") -> tuple[DataFrame, DataFrame]:
+    def reference(self, name: str, version: str | None = None) -> str:
+        folder = version or self.version()
+        return f"{self.root}/reference/{folder + '/' if folder else ''}{name}.csv"
+
+    def references(self, missing_ok: bool = False) -> tuple[DataFrame, DataFrame]:
+        """Master and alias references.  A missing file is an error; only promotion may begin with nothing."""
         return (
-            files.read_csv(self.spark, self.reference("employer_master" + version), files.MASTER, missing_ok=True),
-            files.read_csv(self.spark, self.reference("employer_aliases" + version), files.ALIASES, missing_ok=True),
+            files.read_csv(self.spark, self.reference("employer_master"), files.MASTER, missing_ok),
+            files.read_csv(self.spark, self.reference("employer_aliases"), files.ALIASES, missing_ok),
         )
 
     def catalogue(self) -> DataFrame:
-        return files.read_csv(self.spark, self.reference("public_employer_enrichment"), files.ENRICHMENT, missing_ok=True)
+        return files.read_csv(self.spark, f"{self.root}/reference/public_employer_enrichment.csv", files.ENRICHMENT, missing_ok=True)
 
-    def write(self, df: DataFrame, name: str, *key: str) -> Counts:
-        """Write a table and check what was written: the key is unique and not null."""
+    def write(self, df: DataFrame, name: str, *key: str, inputs: tuple[str, ...] = ()) -> Counts:
+        """Write a table beside its place, check what was written (the key is unique and not null), then publish it with its metrics."""
         began = time.time()
-        files.write_parquet(df, self.path(name))
-        done = self.read(name)
+        files.distinct_paths([self.path(i) for i in inputs], [self.path(name)])
+        part = files.stage_table(df, self.path(name))
+        done = files.read_parquet(self.spark, part)
         total, distinct, missing = done.agg(F.count("*"), F.count_distinct(*key), F.count_if(F.greatest(*(F.col(k).isNull().cast("int") for k in (*key, key[0]))) == 1)).first()
         if missing or distinct != total:
+            files.discard(self.spark, part)
             raise ValueError(f"{name}: {total} rows, {distinct} distinct keys, {missing} null keys")
+        measured = profile.metrics(name, done)
+        files.publish_table(self.spark, part, self.path(name))
         counts = {"table": name, "rows": total, "seconds": round(time.time() - began, 3), "settings": self.settings.fingerprint()}
-        files.write_json(self.spark, counts, f"{self.root}/metrics/{name}.json")
+        files.write_json(self.spark, counts | measured, f"{self.root}/metrics/{name}.json")
         return counts
 
 
@@ -61,26 +73,25 @@ def ingest(s: Store) -> Counts:
     """Source workbook (or, without one, the stored ``source`` table) to ``preprocessed``."""
     path = s.settings.source.workbook
     if path.endswith(".xlsx"):
-        digest = workbook.validate(path, s.settings.source)
-        s.spark.dataSource.register(workbook.Workbook)
-        rows = s.spark.read.format("one_column_workbook").option("sheet", s.settings.source.sheet_name).load(path)
+        digest = workbook.validate(s.spark, path, s.settings.source)
+        rows = workbook.read(s.spark, path, s.settings.source.sheet_name)
     else:
         digest, rows = "0" * 64, s.read("source", "source_row_number", "nombre_original")
-    return s.write(preprocess.preprocess(rows, s.settings, digest), "preprocessed", "record_id")
+    return s.write(preprocess.preprocess(rows, s.settings, digest), "preprocessed", "record_id", inputs=("source",))
 
 
 def resolve(s: Store) -> Counts:
-    return s.write(preprocess.resolve(s.read("preprocessed"), preprocess.exact_index(*s.references())), "resolved", "record_id")
+    return s.write(preprocess.resolve(s.read("preprocessed"), preprocess.exact_index(*s.references())), "resolved", "record_id", inputs=("preprocessed",))
 
 
 def candidates(s: Store) -> Counts:
-    keys = s.write(preprocess.resolution_keys(s.read("resolved")), "resolution_keys", "resolution_key")
-    pairs = s.write(blocking.candidate_pairs(s.read("resolution_keys"), s.settings.candidates), "candidate_pairs", "key_a", "key_b")
+    keys = s.write(preprocess.resolution_keys(s.read("resolved")), "resolution_keys", "resolution_key", inputs=("resolved",))
+    pairs = s.write(blocking.candidate_pairs(s.read("resolution_keys"), s.settings.candidates), "candidate_pairs", "key_a", "key_b", inputs=("resolution_keys",))
     return pairs | {"keys": keys["rows"]}
 
 
 def score(s: Store) -> Counts:
-    return s.write(features(s.read("candidate_pairs")), "candidate_pair_features", "key_a", "key_b")
+    return s.write(features(s.read("candidate_pairs")), "candidate_pair_features", "key_a", "key_b", inputs=("candidate_pairs",))
 
 
 def decide_pairs(s: Store) -> Counts:
@@ -93,8 +104,10 @@ def classify(s: Store) -> Counts:
 
 
 def aligned(left: DataFrame, right: DataFrame, *key: str) -> None:
-    """Both tables hold the same keys."""
-    if not left.select(*key).exceptAll(right.select(*key)).isEmpty() or not right.select(*key).exceptAll(left.select(*key)).isEmpty():
+    """Both tables hold the same keys, each once."""
+    mark = lambda df, n: df.select(*key).withColumn(n, F.lit(1))
+    one = mark(left, "l").unionByName(mark(right, "r"), allowMissingColumns=True).groupBy(*key).agg(F.count("l").alias("l"), F.count("r").alias("r"))
+    if not one.where("l <> 1 or r <> 1").isEmpty():
         raise ValueError(f"tables disagree on {', '.join(key)}")
 
 
@@ -118,12 +131,44 @@ def distinctive(s: Store) -> Counts:
     return s.write(evidence.distinctive(pairs, s.read("resolution_keys"), s.read("employer_eligibility"), s.settings), "distinctive_name_evidence", "key_a", "key_b")
 
 
-def assess(s: Store) -> Counts:
-    shape, rare = s.read("residual_relationship_profile"), s.read("distinctive_name_evidence")
+#: What the four tables of a pair have to agree on, beside its key.
+SHARED = ("name_a", "name_b", "blocking_methods", "numeric_relation")
+
+
+def consistent(shape: DataFrame, rare: DataFrame, scored: DataFrame, spelled: DataFrame) -> DataFrame:
+    """Residual and distinctive rows side by side, checked against features and orthographic decisions.
+
+    Both hold the same pairs; each of these is among the scored and the orthographic ones; names, methods, numeric relation, status,
+    evidence, token counts and flags agree.
+    """
     aligned(shape, rare, "key_a", "key_b")
-    both = shape.join(rare.drop("name_a", "name_b").withColumnRenamed("shared_exact_token_count", "n"), ["key_a", "key_b"])
-    both = preprocess.checked(both, F.col("n") != F.col("shared_exact_token_count"), F.concat(F.lit("token counts disagree for "), "key_a")).drop("n")
-    return s.write(evidence.multi_evidence(both), "multi_evidence_assessment", "key_a", "key_b")
+    key = ["key_a", "key_b"]
+    struct = lambda df, name: df.select(*key, F.struct(*(c for c in df.columns if c not in key)).alias(name))
+    df = shape.join(struct(rare, "r"), key).join(struct(scored, "f"), key, "left").join(struct(spelled, "o"), key, "left")
+    differ = lambda a, b: ~a.eqNullSafe(b)
+    c = F.col
+    checks = {
+        "no features": c("f").isNull(),
+        "no orthographic decision": c("o").isNull(),
+        "identity": differ(c("name_a"), c("r.name_a")) | differ(c("name_b"), c("r.name_b")),
+        "status": c("o.orthographic_status") != "NEEDS_FURTHER_RESOLUTION",
+        "evidence": differ(c("orthographic_evidence"), c("o.orthographic_evidence")),
+        "token counts": differ(c("shared_exact_token_count"), c("r.shared_exact_token_count")),
+        "overlap flags": (c("r.has_shared_exact_token") != (c("shared_exact_token_count") > 0)) | (c("r.has_shared_distinctive_token") != (c("r.shared_distinctive_token_count") > 0)),
+    }
+    for n in SHARED:
+        for side, table in (("f", scored), ("o", spelled)):
+            if n in shape.columns and n in table.columns:
+                checks[f"{n} of {side}"] = differ(c(n), c(f"{side}.{n}"))
+    for what, wrong in checks.items():
+        df = preprocess.checked(df, wrong, F.concat(F.lit(f"tables disagree on {what} for "), "key_a", F.lit(" / "), "key_b"))
+    return df.select(*shape.columns, *(c(f"r.{n}").alias(n) for n in rare.columns if n not in shape.columns))
+
+
+def assess(s: Store) -> Counts:
+    tables = ("residual_relationship_profile", "distinctive_name_evidence", "candidate_pair_features", "orthographic_pair_decisions")
+    both = consistent(*(s.read(t) for t in tables))
+    return s.write(evidence.multi_evidence(both), "multi_evidence_assessment", "key_a", "key_b", inputs=tables)
 
 
 def finalize_rows(s: Store) -> Counts:
@@ -139,6 +184,7 @@ def finalize_rows(s: Store) -> Counts:
     after = profile.fingerprint(s.read("employer_resolution_final"), "record_id", "source_row_number", "nombre_original", "nombre_normalizado", "route", "route_reason").first()
     if before != after:
         raise ValueError("source rows changed on the way")
+    files.write_csv_table(s.read("employer_resolution_final"), f"{s.root}/output/employer_resolution_final.csv", ["source_row_number"])
     files.write_csv(finalize.top_keys(final, keys, s.settings.top_key_limit), f"{s.root}/output/top_keys.csv", ["resolution_key"])
     return counts
 
@@ -148,21 +194,28 @@ def build_master(s: Store) -> Counts:
     counts = s.write(master.corporate_master(final), "corporate_master", "entity_id")
     s.write(master.alias_dictionary(final, s.read("corporate_master"), s.read("resolution_keys")), "corporate_aliases", "entity_id", "resolution_key")
     master.alias_rollup(s.read("corporate_aliases"), s.read("corporate_master")).count()
+    files.write_csv_table(s.read("corporate_master"), f"{s.root}/output/corporate_master.csv", ["entity_id"])
+    files.write_csv_table(s.read("corporate_aliases"), f"{s.root}/output/corporate_aliases.csv", ["entity_id", "resolution_key"])
     return counts
 
 
 def assess_quality(s: Store) -> Counts:
-    return s.write(master.unique_entities(master.canonical_quality(s.read("corporate_master"))), "canonical_quality", "entity_id")
+    counts = s.write(master.unique_entities(master.canonical_quality(s.read("corporate_master"))), "canonical_quality", "entity_id", inputs=("corporate_master",))
+    files.write_csv_table(s.read("canonical_quality"), f"{s.root}/output/canonical_quality.csv", ["entity_id"], mark=False)
+    return counts
 
 
 def promote(s: Store) -> Counts:
-    """Write the next version of both reference files; the running ones are replaced once both are complete."""
-    new = master.promote(s.read("corporate_master"), s.read("canonical_quality"), s.read("corporate_aliases"), *s.references())
+    """Write the next version of both reference files into a folder of its own; then one pointer is replaced."""
+    new = master.promote(s.read("corporate_master"), s.read("canonical_quality"), s.read("corporate_aliases"), *s.references(missing_ok=True))
+    version = uuid.uuid4().hex
     for df, name, order in zip(new, ("employer_master", "employer_aliases"), ("entity_id", "alias_name"), strict=True):
-        files.write_csv(df, s.reference(name) + ".next", [order])
-    for name in ("employer_master", "employer_aliases"):
-        files.moved(s.spark, s.reference(name) + ".next", s.reference(name))
-    return {"table": "reference", "rows": s.references()[0].count()}
+        files.write_csv(df, s.reference(name, version), [order])
+    # What was written has to load before it is made current.
+    written = [files.read_csv(s.spark, s.reference(n, version), k) for n, k in (("employer_master", files.MASTER), ("employer_aliases", files.ALIASES))]
+    rows = preprocess.exact_index(*written).count()
+    files.write_text(s.spark, version, f"{s.root}/reference/CURRENT")
+    return {"table": "reference", "rows": written[0].count(), "names": rows}
 
 
 def review_sample(s: Store) -> Counts:

@@ -8,6 +8,7 @@ from namewright.functions.pairs import RULES
 from namewright.functions.text import QUOTES
 from namewright.operators import blocking, finalize, graph, sampling
 from namewright.plans.feed import MASTER_SQL, PART, feed_sql
+from namewright.plans.project import PLAIN, WIDE, marked_sql, strange_sql
 
 S = Settings()
 N, T, C = S.normalization, S.typing, S.candidates
@@ -560,6 +561,112 @@ CTE["keys2"] = keys_sql("resolved2")
 CTE |= blocking_ctes("keys2", "s_")
 CTE["zero"] = "SELECT * FROM keys WHERE resolution_key NOT IN (SELECT key_a FROM pairs UNION SELECT key_b FROM pairs)"
 
+
+def changed(sql: str, *pairs: tuple[str, str]) -> str:
+    """``sql`` with parts replaced, each of which it must hold."""
+    for old, new in pairs:
+        if old not in sql:
+            raise ValueError(f"no {old!r} in the SQL")
+        sql = sql.replace(old, new)
+    return sql
+
+
+# ---- the same entities with a public catalogue -----------------------------------------------------------------------
+CTE["pub0"] = "SELECT component, canonical_resolution_key, (row_number() OVER (ORDER BY component) - 1) // 2 AS n FROM c1 WHERE starts_with(entity_id, 'ENT-0')"
+CTE["catalogue"] = (
+    "SELECT 'PUB-' || lpad(CAST(n AS VARCHAR), 6, '0') AS public_entity_id, resolution_key, min(resolution_key) OVER (PARTITION BY n) || ' PUBLICA' AS canonical_name, "
+    "CASE WHEN n % 2 = 0 THEN 'Educación' ELSE 'Finanzas' END AS sector, 'https://example.org/' || n AS source_url, '2024-01-15' AS validated_on "
+    "FROM (SELECT n, canonical_resolution_key AS resolution_key FROM pub0 UNION SELECT n, component FROM pub0)"
+)
+CTE["joined"] = "SELECT component AS old, n, min(component) OVER (PARTITION BY n) AS component FROM pub0"
+CTE["member_p"] = "SELECT m.resolution_key, coalesce(j.component, m.component) AS component, j.n FROM member m LEFT JOIN joined j ON j.old = m.component"
+CTE["comp_rules_p"] = changed(CTE["comp_rules"], ("JOIN member ON", "JOIN member_p ON"))
+CTE["c1_p"] = changed(CTE["c1"], ("JOIN member USING", "JOIN member_p USING"))
+CTE["c2_p"] = (
+    "SELECT c.*, p.public_entity_id, p.sector AS public_sector, p.source_url, p.validated_on, coalesce(p.canonical_name, c.canonical_resolution_key) AS canonical_name FROM c1_p c "
+    "LEFT JOIN (SELECT DISTINCT component, n FROM member_p WHERE n IS NOT NULL) m USING (component) LEFT JOIN (SELECT DISTINCT public_entity_id, canonical_name, sector, source_url, validated_on FROM catalogue) p "
+    "ON p.public_entity_id = 'PUB-' || lpad(CAST(m.n AS VARCHAR), 6, '0')"
+)
+CTE["parts_p"] = (
+    f"SELECT m.resolution_key, m.component, coalesce(public_entity_id, entity_id) AS entity_id, canonical_resolution_key, canonical_name, coalesce(public_sector, {sector_sql('canonical_name', 'sector')}) AS sector, "
+    "component_key_count, component_source_row_count, rules AS decision_rules, public_entity_id, source_url AS public_source_url, validated_on AS public_validation_date "
+    "FROM member_p m JOIN c2_p USING (component) LEFT JOIN comp_rules_p USING (component)"
+)
+CTE["z1_p"] = changed(
+    CTE["z1"], ("p.decision_rules AS k_rules", "p.decision_rules AS k_rules, p.public_entity_id AS k_pub, p.public_source_url AS k_url, p.public_validation_date AS k_day, p.sector AS k_sector"),
+    ("THEN CASE WHEN p.component_key_count", "THEN CASE WHEN p.public_entity_id IS NOT NULL THEN 4 WHEN p.component_key_count"), ("LEFT JOIN parts p", "LEFT JOIN parts_p p"),
+)
+CTE["z2_p"] = changed(CTE["z2"], ("c IN (5, 6)", "c IN (4, 5, 6)"), ("FROM z1", "FROM z1_p"))
+CTE["final_p"] = changed(
+    CTE["final"], ("c IN (1, 5, 6)", "c IN (1, 4, 5, 6)"), ("c IN (5, 6)", "c IN (4, 5, 6)"), ("c IN (1, 2, 5)", "c IN (1, 2, 4, 5)"),
+    ("WHEN 5 THEN 'EMPRESA_CANONICALIZADA_AUTO'", "WHEN 4 THEN 'EMPRESA_VALIDADA_PUBLICAMENTE' WHEN 5 THEN 'EMPRESA_CANONICALIZADA_AUTO'"), ("WHEN 5 THEN 92", "WHEN 4 THEN 100 WHEN 5 THEN 92"),
+    ("WHEN 5 THEN 'deterministic_auto_same_component'", "WHEN 4 THEN 'public_reference_and_deterministic_component' WHEN 5 THEN 'deterministic_auto_same_component'"),
+    ("WHEN 5 THEN 'Equivalencia", "WHEN 4 THEN 'Identidad y sector validados en fuente pública; propagación limitada a claves aprobadas y equivalencias AUTO_SAME.' WHEN 5 THEN 'Equivalencia"),
+    ("THEN 'NO_APLICA' WHEN s2", "THEN 'NO_APLICA' WHEN c = 4 THEN 'ALTA' WHEN s2"), ("THEN 'No aplica' ELSE s1", "THEN 'No aplica' WHEN c = 4 THEN k_sector ELSE s1"),
+    ("THEN 'not_applicable' ELSE s2", "THEN 'not_applicable' WHEN c = 4 THEN 'public_source' ELSE s2"), ("CASE WHEN who IS NOT NULL THEN s3", "CASE WHEN c = 4 THEN k_url WHEN who IS NOT NULL THEN s3"),
+    ("CAST(NULL AS VARCHAR) AS public_entity_id", "CASE WHEN c = 4 THEN k_pub END AS public_entity_id"), ("CAST(NULL AS VARCHAR) AS public_source_url", "CASE WHEN c = 4 THEN k_url END AS public_source_url"),
+    ("CAST(NULL AS VARCHAR) AS public_validation_date", "CASE WHEN c = 4 THEN k_day END AS public_validation_date"), ("FROM z2", "FROM z2_p"),
+)
+CTE["master_p"] = changed(
+    CTE["master"], ("CASE min(resultado_final) WHEN", "CASE min(resultado_final) WHEN 'EMPRESA_VALIDADA_PUBLICAMENTE' THEN 'PUBLIC_VALIDATED' WHEN"),
+    ("'NOT_PUBLIC_VALIDATED' AS", "CASE WHEN min(public_entity_id) IS NULL THEN 'NOT_PUBLIC_VALIDATED' ELSE 'PUBLIC_VALIDATED' END AS"), ("FROM final", "FROM final_p"),
+)
+CTE["aliases_p"] = changed(CTE["aliases"], ("FROM final f JOIN master m", "FROM final_p f JOIN master_p m"))
+CTE["q1_p"] = changed(CTE["q1"], ("FROM master", "FROM master_p"))
+NAMED_P = (NAMED[0], ("resolution_status = 'PUBLIC_VALIDATED'", "PUBLIC_VALIDATED", "public_validated_name"), *NAMED[1:])
+
+
+def quality_sql(named: str) -> str:
+    """The quality gate over a subquery with the columns ``numbered`` and ``suffixed``."""
+    status = cases([(c, text(q)) for c, q, _ in NAMED_P], text("ACCEPTABLE"))
+    return (
+        f"SELECT entity_id, canonical_name, resolution_status, confidence_score, {status} AS quality_status, {cases([(c, text(r)) for c, _, r in NAMED_P], text('auto_canonical_name_acceptable'))} AS quality_reason, "
+        f"numbered AS has_trailing_numeric, suffixed AS legal_suffix_trailing_numeric, {NAMED[0][0]} AS has_invalid_character, {status} IN ('ACCEPTABLE', 'PUBLIC_VALIDATED') AS promotion_eligible FROM {named}"
+    )
+
+
+CTE["quality_p"] = quality_sql("q1_p")
+CTE["refs_p"] = changed(CTE["refs2"], ("FROM quality", "FROM quality_p"))
+CTE["alias_refs_p"] = changed(CTE["alias_refs2"], ("FROM aliases a JOIN quality q", "FROM aliases_p a JOIN quality_p q"))
+CTE["idx_p"] = index_sql("refs_p", "alias_refs_p")
+CTE["resolved_p"] = resolved_sql("idx_p")
+
+# ---- names that are not ASCII ----------------------------------------------------------------------------------------
+CTE["feed_u"] = strange_sql()
+CHAIN = ("n1", "n2", "n3", "norm", "t1", "t2", "t3", "t4", "pre")
+for _name, _source in zip(CHAIN, ("feed", *CHAIN), strict=False):
+    CTE[f"{_name}_u"] = changed(CTE[_name], (f"FROM {_source}", f"FROM {_source}_u"))
+# What compatibility composition makes of the characters that these names hold.
+_bare = "regexp_replace(nombre_original, '^''', '')"
+_composed = f"translate({_bare}, {text(WIDE + chr(0xA0) + chr(0x2003) + '①²')}, {text(PLAIN + '  12')})"
+CTE["n1_u"] = changed(CTE["n1_u"], (f"translate({_bare}", f"translate(replace(replace({_composed}, 'ﬁ', 'fi'), '№', 'No')"))
+CTE["marked"] = marked_sql().format(s="VARCHAR")
+CTE["marked_q"] = changed(CTE["q1"], ("FROM master", "FROM marked"))
+
+# ---- string ratios: the bit-parallel subsequence in 128-bit integers ---------------------------------------------------
+
+
+def lcs_sql(a: str, b: str) -> str:
+    full = f"((CAST(1 AS HUGEINT) << length({a})) - 1)"
+    own = f"CASE WHEN substr({a}, i, 1) = substr({b}, j, 1) THEN CAST(1 AS HUGEINT) << (i - 1) ELSE CAST(0 AS HUGEINT) END"
+    masks = f"list_transform(range(1, length({b}) + 1), lambda j: list_sum(list_transform(range(1, length({a}) + 1), lambda i: {own})))"
+    walked = f"list_reduce(list_prepend({full}, {masks}), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full})"
+    return f"CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE length({a}) - bit_count({walked}) END"
+
+
+CTE["w1"] = f"SELECT key_a, key_b, name_a, name_b, list_sort({tokens('name_a')}) AS ta, list_sort({tokens('name_b')}) AS tb FROM pairs"
+CTE["w2"] = (
+    "SELECT *, array_to_string(ta, ' ') AS sa, array_to_string(tb, ' ') AS sb, array_to_string(list_sort(list_distinct(list_filter(ta, lambda t: list_contains(tb, t)))), ' ') AS shared, "
+    "array_to_string(list_sort(list_distinct(list_filter(ta, lambda t: NOT list_contains(tb, t)))), ' ') AS oa, array_to_string(list_sort(list_distinct(list_filter(tb, lambda t: NOT list_contains(ta, t)))), ' ') AS ob FROM w1"
+)
+CTE["w3"] = "SELECT *, CASE WHEN shared = '' THEN oa ELSE shared || ' ' || oa END AS ja, CASE WHEN shared = '' THEN ob ELSE shared || ' ' || ob END AS jb FROM w2"
+CTE["w4"] = f"SELECT *, {lcs_sql('name_a', 'name_b')} AS lab, {lcs_sql('sa', 'sb')} AS lsab, {lcs_sql('ja', 'jb')} AS ljab FROM w3"
+_set = "greatest(200.0 * ljab / (length(ja) + length(jb)), CASE WHEN shared <> '' THEN greatest(200.0 * length(shared) / (length(shared) + length(ja)), 200.0 * length(shared) / (length(shared) + length(jb))) ELSE 0.0 END)"
+CTE["ratios"] = (
+    f"SELECT key_a, key_b, {six('200.0 * lab / (length(name_a) + length(name_b))')} AS char_ratio, {six('200.0 * lsab / (length(sa) + length(sb))')} AS token_sort_ratio, "
+    f"CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 0.0 WHEN shared <> '' AND (oa = '' OR ob = '') THEN 100.0 ELSE {six(_set)} END AS token_set_ratio FROM w4"
+)
+
 ORDER = list(CTE)
 
 

@@ -11,7 +11,10 @@ from namewright.functions import evidence
 from namewright.functions.pairs import features
 from namewright.operators import blocking, finalize, graph, master, preprocess, profile, sampling
 from namewright.plans import oracle
-from namewright.plans.feed import Run, alias_references, feed, master_references
+from namewright.plans import project as _project
+from namewright.plans.feed import CONFIG, Run, alias_references, feed, master_references
+from namewright.plans.project import Project, marked_sql, over_suppliers, project_of, strange_sql, workbook_rows
+from namewright.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +32,7 @@ def run_of(spark: SparkSession, sf_dir: str) -> Run:
 
 def forget() -> None:
     _runs.clear()
+    _project.forget()
 
 
 def query(name: str, sql: str | None = None):
@@ -121,6 +125,7 @@ query("crosstab_route_status", "SELECT representative_route, " + ", ".join(f"cou
 
 # ---- features and decisions ------------------------------------------------------------------------------------------
 query("feat_struct", f"SELECT * EXCLUDE (blocking_methods), {LISTED} FROM scored")(lambda r: joined(r.stage("scored"), "blocking_methods"))
+query("feat_ratios", "SELECT * FROM ratios")(lambda r: features(r.stage("pairs")).select("key_a", "key_b", "char_ratio", "token_sort_ratio", "token_set_ratio"))
 query("feat_fuzzy")(lambda r: joined(features(r.stage("pairs")), "blocking_methods"))
 DECIDED = ("key_a", "key_b", "decision_status", "decision_rule", "decision_evidence", "supporting_rules")
 DECIDED_SQL = "SELECT key_a, key_b, decision_status, decision_rule, decision_evidence, array_to_string(supporting_rules, '|') AS supporting_rules FROM decisions"
@@ -202,7 +207,28 @@ query(
     "UNION ALL SELECT 'route', route, count(*) FROM pre GROUP BY route UNION ALL SELECT 'normalized_length', CAST(normalized_length AS VARCHAR), count(*) FROM pre GROUP BY normalized_length",
 )(lambda r: profile.profile(r.stage("preprocessed")))
 query("unique_pairs", "SELECT key_a, key_b, count(*) AS n FROM pairs GROUP BY ALL HAVING count(*) > 1")(lambda r: profile.duplicates(r.stage("pairs"), "key_a", "key_b"))
-query("fingerprint")(lambda r: profile.fingerprint(r.stage("decisions"), "key_a", "key_b", "decision_rule"))
+_digest = "CAST('0x' || substr(sha256(key_a || chr(31) || key_b || chr(31) || decision_rule), 1, 15) AS BIGINT)"
+query("fingerprint", f"SELECT count(*) AS n, coalesce(bit_xor({_digest}), 0) AS xor, CAST(coalesce(sum({_digest} % 2147483648), 0) AS BIGINT) AS total FROM decisions")(
+    lambda r: profile.fingerprint(r.stage("decisions"), "key_a", "key_b", "decision_rule")
+)
+_again = "lag(nombre_original) OVER w IS NOT DISTINCT FROM nombre_original AND row_number() OVER w > 1"
+query("repeated_neighbours", f"SELECT nombre_normalizado, count(*) AS n FROM (SELECT *, {_again} AS again FROM pre WINDOW w AS (PARTITION BY nombre_normalizado ORDER BY nombre_original NULLS FIRST)) WHERE again GROUP BY ALL")(
+    lambda r: profile.counts(profile.out_of_order(r.stage("preprocessed").select("nombre_normalizado", "nombre_original"), "nombre_normalizado", "nombre_original"), "nombre_normalizado")
+)
+query(
+    "support_summary",
+    "SELECT CAST(count(*) AS BIGINT) AS n, min(support) AS minimum, quantile_disc(support, 0.5) AS p50, quantile_disc(support, 0.95) AS p95, max(support) AS maximum FROM (SELECT support, unnest(range(support)) FROM support)",
+)(lambda r: profile.weighted_summary(evidence.token_support(evidence.employer_cores(r.stage("keys"), r.stage("eligibility"), r.settings)), "support", "support"))
+
+
+def crossed(table: str, pairs: tuple[tuple[str, str], ...]) -> str:
+    """SQL of the cross-tabs that :func:`profile.pair_counts` makes."""
+    shown = lambda c: f"coalesce(CAST({c} AS VARCHAR), '')"
+    return " UNION ALL ".join(f"SELECT '{a} x {b}' AS counter, {shown(a)} || '|' || {shown(b)} AS value, count(*) AS n FROM {table} GROUP BY ALL" for a, b in pairs)
+
+
+for _table, _name, _stage in (("residual_relationship_profile", "resid", "residual"), ("employer_resolution_final", "final", "final"), ("canonical_quality", "quality", "quality")):
+    query(f"crosstabs_{_stage}", crossed(_name, profile.CROSSED[_table]))(lambda r, t=_table, s=_stage: profile.pair_counts(r.stage(s), profile.CROSSED[t]))
 _strata = " UNION ALL ".join(f"SELECT record_id, '{s}' AS stratum, {sampling.QUOTAS[s]} AS quota FROM pre WHERE {c}" for s, c in oracle.STRATA.items())
 query(
     "sample_strata",
@@ -219,3 +245,84 @@ query(
     f"SELECT *, row_number() OVER (ORDER BY first, {_mark.format(oracle.text('audit_backfill'))}, resolution_key) AS k FROM (SELECT *, CASE WHEN n <= {_targets} THEN 0 ELSE 1 END AS first FROM ("
     f"SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY mark, resolution_key) AS n FROM (SELECT *, {_mark.format('stratum')} AS mark FROM (SELECT resolution_key, {oracle.AUDIT} AS stratum FROM zero))))) WHERE k <= 150",
 )(lambda r: sampling.blocking_misses(sampling.zero_candidate_keys(r.stage("keys"), r.stage("pairs"))).select("sample_id", "stratum", "resolution_key"))
+
+# ---- names that are not ASCII, workbooks -------------------------------------------------------------------------------
+
+
+def strange(r: Run) -> DataFrame:
+    return preprocess.preprocess(over_suppliers(r.spark, r.sf_dir, strange_sql()), CONFIG)
+
+
+query("norm_unicode", "SELECT source_row_number, nombre_original, nombre_normalizado, nombre_matching FROM norm_u")(lambda r: strange(r).select("source_row_number", "nombre_original", "nombre_normalizado", "nombre_matching"))
+query("preprocess_unicode", "SELECT * FROM pre_u")(strange)
+query("quality_marks", oracle.quality_sql("marked_q"))(lambda r: master.canonical_quality(over_suppliers(r.spark, r.sf_dir, marked_sql().format(s="STRING"))))
+query("workbook_rows", "SELECT row_number() OVER (ORDER BY source_row_number) + 1 AS source_row_number, nombre_original, 64 AS digest_size FROM feed_u")(lambda r: workbook_rows(r.spark, r.sf_dir))
+
+# ---- the stages of the command line, over a project with a public catalogue ----------------------------------------------
+
+
+def staged(name: str, stage: str, sql: str | None, make: Callable[[Project], DataFrame]) -> None:
+    """A query over what a project holds after ``stage``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        project = project_of(spark, sf_dir)
+        project.upto(stage)
+        return make(project)
+
+    QUERIES[name] = run
+    if sql is not None:
+        SQL[name] = oracle.sql(sql)
+
+
+def stored(table: str, *lists: str) -> Callable[[Project], DataFrame]:
+    return lambda p: joined(p.store.read(table), *lists)
+
+
+def known(p: Project) -> DataFrame:
+    masters, names = p.store.references()
+    return masters.selectExpr("'master' AS kind", "entity_id", "canonical_name AS name").unionByName(names.selectExpr("'alias' AS kind", "entity_id", "alias_name AS name"))
+
+
+KNOWN = "SELECT 'master' AS kind, entity_id, canonical_name AS name FROM {0} UNION ALL SELECT 'alias', entity_id, alias_name FROM {1}"
+TEXTS = ("record_id", "entity_id", "nombre_propuesto", "sector_propuesto", "resultado_final", "metodo_resolucion", "explicacion", "decision_rules", "public_entity_id", "public_source_url")
+LISTS = "blocking_methods"
+staged("stage_preprocess", "preprocess", "SELECT * FROM pre", stored("preprocessed"))
+staged("stage_resolve", "resolve", "SELECT * FROM resolved", stored("resolved"))
+staged("stage_references", "resolve", "SELECT 'alias' AS kind, entity_id, alias_name AS name FROM alias_refs", lambda p: files.read_csv(p.spark, f"{p.store.root}/reference/employer_aliases.csv", files.ALIASES).selectExpr("'alias' AS kind", "entity_id", "alias_name AS name"))
+staged("stage_keys", "candidates", "SELECT * FROM keys", stored("resolution_keys"))
+staged("stage_candidates", "candidates", f"SELECT key_a, key_b, name_a, name_b, {LISTED} FROM pairs", stored("candidate_pairs", LISTS))
+staged(
+    "stage_score", "score-candidates", f"SELECT s.* EXCLUDE (blocking_methods), {LISTED}, char_ratio, token_sort_ratio, token_set_ratio FROM scored s JOIN ratios USING (key_a, key_b)",
+    lambda p: joined(p.store.read("candidate_pair_features").drop("partial_ratio"), LISTS),
+)
+staged("stage_decide", "decide-pairs", f"SELECT key_a, key_b, name_a, name_b, {LISTED}, decision_status, decision_rule, decision_evidence FROM decisions", stored("pair_resolution_decisions", LISTS))
+staged("stage_eligibility", "classify-eligibility", "SELECT * FROM elig", stored("employer_eligibility"))
+staged("stage_orthographic", "resolve-orthographic", f"SELECT o.*, {LISTED} FROM ortho o JOIN pairs USING (key_a, key_b, name_a, name_b)", stored("orthographic_pair_decisions", LISTS))
+staged("stage_residual", "profile-residuals", f"SELECT r.*, {LISTED} FROM resid r JOIN pairs USING (key_a, key_b, name_a, name_b)", stored("residual_relationship_profile", LISTS))
+staged("stage_distinctive", "compute-distinctive-evidence", "SELECT * FROM dist", stored("distinctive_name_evidence"))
+staged("stage_assess", "assess-evidence", "SELECT * FROM multi", lambda p: p.store.read("multi_evidence_assessment").select(*ASSESSED))
+staged("public_catalogue", "finalize", "SELECT * FROM catalogue", lambda p: finalize.checked_enrichment(p.store.catalogue()))
+staged("stage_final", "finalize", "SELECT * FROM final_p", stored("employer_resolution_final"))
+staged(
+    "stage_final_metrics", "finalize", " UNION ALL ".join(f"SELECT '{c}' AS counter, coalesce({c}, '') AS value, count(*) AS n FROM final_p GROUP BY ALL" for c in profile.COUNTED["employer_resolution_final"]),
+    lambda p: p.metrics("employer_resolution_final"),
+)
+staged(
+    "csv_final", "finalize", f"SELECT {', '.join(TEXTS)}, CAST(score_confianza_resolucion AS VARCHAR) AS score FROM final_p",
+    lambda p: p.csv("employer_resolution_final").selectExpr(*TEXTS, "score_confianza_resolucion AS score"),
+)
+staged("csv_top_keys", "finalize", "SELECT resolution_key, CAST(n AS VARCHAR) AS source_row_frequency FROM (SELECT resolution_key, source_row_frequency AS n FROM keys ORDER BY n DESC, resolution_key LIMIT 40)", lambda p: p.csv("top_keys"))
+staged("stage_master", "build-corporate-master", "SELECT * FROM master_p", stored("corporate_master"))
+staged("stage_aliases", "build-corporate-master", "SELECT * FROM aliases_p", stored("corporate_aliases"))
+OWN = "entity_id, canonical_name, resolution_status, public_entity_id"
+staged("csv_master", "build-corporate-master", f"SELECT {OWN}, CAST(source_row_count AS VARCHAR) AS source_row_count FROM master_p", lambda p: p.csv("corporate_master").select(*OWN.split(", "), "source_row_count"))
+staged("stage_quality", "canonical-quality", "SELECT * FROM quality_p", stored("canonical_quality"))
+GATED = "entity_id, canonical_name, quality_status, quality_reason"
+staged("csv_quality", "canonical-quality", f"SELECT {GATED} FROM quality_p", lambda p: p.csv("canonical_quality").select(*GATED.split(", ")))
+staged("stage_promoted", "promote-references", KNOWN.format("refs_p", "alias_refs_p"), known)
+staged("stage_second_resolve", "promote-references", "SELECT * FROM resolved_p", lambda p: p.again())
+staged("stage_review_pairs", "build-evaluation-sample", None, lambda p: p.csv_file("evaluation/pair_review.csv"))
+# The two samples show what two queries above show directly.
+staged("stage_review_sample", "build-evaluation-sample", None, lambda p: p.csv_file("evaluation/blocking_audit.csv").select("sample_id", "stratum", "resolution_key"))
+staged("stage_sample", "evaluation-sample", None, lambda p: joined(p.store.read("evaluation_sample").select("record_id", "evaluation_strata"), "evaluation_strata"))
+SQL["stage_review_sample"], SQL["stage_sample"] = SQL["audit_strata"], SQL["sample_strata"]

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import csv
-import hashlib
 import io
 import json
 import os
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from namewright.operators.preprocess import checked
 
@@ -21,9 +22,10 @@ ENRICHMENT = "public_entity_id string, resolution_key string, canonical_name str
 
 def read_csv(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
     """A CSV file with exactly the schema's header; a byte order mark is accepted, a missing file is empty if ``missing_ok``."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if missing_ok and not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], schema)
+    if not exists(spark, path):
+        if missing_ok:
+            return spark.createDataFrame([], schema)
+        raise FileNotFoundError(path)
     names = [x.split()[0] for x in schema.split(", ")]
     head = spark.read.text(path).limit(1).collect()
     found = head[0][0].removeprefix("﻿").rstrip("\r").split(",") if head else []
@@ -37,7 +39,12 @@ def read_csv(spark: SparkSession, path: str, schema: str, missing_ok: bool = Fal
 
 
 def read_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The named columns of a stage's table; one that is missing is an error."""
+    """The named columns of a stage's table; one that is missing is an error.
+
+    A writer that died between the two renames of :func:`publish_table` leaves the table under its former name.
+    """
+    if not exists(spark, path) and exists(spark, path + FORMER):
+        path += FORMER
     df = spark.read.parquet(path)
     if gone := sorted(set(columns) - set(df.columns)):
         raise ValueError(f"{path} lacks the columns {gone}")
@@ -51,18 +58,52 @@ def distinct_paths(inputs: list[str], outputs: list[str]) -> None:
         raise ValueError(f"output would overwrite an input: {same}")
 
 
-def write_parquet(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Publish a table: Spark's commit protocol shows all of it or nothing."""
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
+FORMER = ".former"
+
+
+def _store(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _store(spark, path)
+    return store.exists(where)
+
+
+def stage_table(df: DataFrame, path: str, codec: str = "zstd") -> str:
+    """Write a table beside the place where it will be published, and return where it is until then."""
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    df.write.option("compression", codec).parquet(part)
+    return part
+
+
+def publish_table(spark: SparkSession, part: str, path: str) -> None:
+    """Put a staged table in its place.  At every moment the old one or the new one can be read (:func:`read_parquet`)."""
+    store, where = _store(spark, path)
+    _, former = _store(spark, path + FORMER)
+    _, source = _store(spark, part)
+    if store.exists(where):
+        store.delete(former, True)
+        if not store.rename(where, former):
+            raise OSError(f"could not set aside {path}")
+    if not store.rename(source, where):
+        raise OSError(f"could not publish {path}")
+    store.delete(former, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    store, where = _store(spark, path)
+    store.delete(where, True)
 
 
 class Output:
-    """A file in any store that Spark can write, published by a rename once it is complete."""
+    """A file in any store that Spark can write, published by one atomic rename once it is complete."""
 
     def __init__(self, spark: SparkSession, path: str):
-        paths = spark._jvm.org.apache.hadoop.fs.Path
-        self.path, self.part = paths(path), paths(f"{path}.tmp")
-        self.store = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.spark = spark
+        self.store, self.path = _store(spark, path)
+        _, self.part = _store(spark, f"{path}.tmp")
         self.out = self.store.create(self.part, True)
 
     def write(self, data: bytes) -> None:
@@ -70,19 +111,26 @@ class Output:
 
     def publish(self) -> None:
         self.out.close()
-        self.store.delete(self.path, False)
-        if not self.store.rename(self.part, self.path):
-            raise OSError(f"could not publish {self.path}")
+        jvm = self.spark._jvm
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        full = self.store.makeQualified(self.path)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(full.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(self.store.makeQualified(self.part), full, options)
 
 
-def moved(spark: SparkSession, source: str, target: str) -> None:
-    """Put ``source`` in the place of ``target``."""
-    paths = spark._jvm.org.apache.hadoop.fs.Path
-    old, new = paths(source), paths(target)
-    store = new.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(new, False)
-    if not store.rename(old, new):
-        raise OSError(f"could not move {source}")
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    out = Output(spark, path)
+    out.write(text.encode())
+    out.publish()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    if not exists(spark, path):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
 
 
 def write_csv(df: DataFrame, path: str, order: list[str], mark: bool = True) -> None:
@@ -104,20 +152,19 @@ def write_csv(df: DataFrame, path: str, order: list[str], mark: bool = True) ->
     out.publish()
 
 
-def write_csv_table(df: DataFrame, path: str) -> None:
-    """A large table as a folder of CSV files."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv_table(df: DataFrame, path: str, order: list[str], mark: bool = True) -> None:
+    """A large table as a folder of CSV files with a header each, rows in order over all of them; published as a whole.
+
+    With ``mark`` each file begins with a byte order mark.  Lists are joined by "|".
+    """
+    flat = df.select(*(F.array_join(c, "|").alias(c) if isinstance(df.schema[c].dataType, ArrayType) else F.col(c) for c in df.columns))
+    head = [("\ufeff" if mark and i == 0 else "") + c for i, c in enumerate(df.columns)]
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    flat.orderBy(*order).toDF(*head).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(part)
+    publish_table(df.sparkSession, part, path)
 
 
 def write_json(spark: SparkSession, values: dict[str, Any], path: str) -> None:
     out = Output(spark, path)
     out.write(json.dumps(values, ensure_ascii=False, indent=2, sort_keys=True).encode())
     out.publish()
-
-
-def file_sha256(path: str, block: int = 1 << 20) -> str:
-    digest = hashlib.sha256()
-    with open(path, "rb") as f:
-        while chunk := f.read(block):
-            digest.update(chunk)
-    return digest.hexdigest().upper()

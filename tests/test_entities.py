@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import io
 import json
 import random
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from namewright import cli
 from namewright.config import Settings, Source, load_settings
-from namewright.operators import finalize, graph, master, preprocess, profile, sampling
+from namewright.operators import finalize, graph, master, preprocess, profile, sampling, stages
 from namewright.sources import files, workbook
 
 CONFIG = Settings()
@@ -53,11 +54,18 @@ def test_components_equal_a_global_replay(spark):
     names = [f"N{i} {rng.choice(['SA', 'LLC', 'X', 'INC'])}" for i in range(60)]
     pairs = sorted({tuple(sorted(rng.sample(names, 2))) for _ in range(70)})
     forms = {n: n.split()[1] if n.split()[1] != "X" else None for n in names}
-    forest = graph.Forest(forms)
-    blocked = sum(not forest.union(a, b, True) for a, b in pairs)
-    expected = {}
-    for n in names:
-        expected.setdefault(forest.find(n), []).append(n)
+    # A plain replay over lists of members.
+    sets = {n: [n] for n in names}
+    blocked = 0
+    for a, b in pairs:
+        x, y = sets[a], sets[b]
+        one, two = ({forms[n] for n in part} - {None} for part in (x, y))
+        if x is not y and one and two and not one & two:
+            blocked += 1
+        elif x is not y:
+            x += y
+            sets |= dict.fromkeys(y, x)
+    expected = {id(x): x for x in sets.values()}
     found = graph.constrained_components(keys_of(spark, names), decisions_of(spark, pairs))
     assert groups(found) == sorted(map(sorted, expected.values()))
     assert found.agg(F.sum("blocked")).first()[0] == blocked
@@ -199,13 +207,22 @@ def book(values):
 def test_workbook(spark, tmp_path):
     path = tmp_path / "names.xlsx"
     path.write_bytes(book(["  ACME  ", None, "'", "CALLE 10", "ESTUDIANTE", "EMPRESA S A"]))
-    digest = workbook.validate(str(path), Source())
-    with pytest.raises(ValueError, match="SHA-256"):
-        workbook.validate(str(path), Source(expected_sha256="00"))
-    with pytest.raises(ValueError, match="sheets"):
-        workbook.validate(str(path), Source(expected_sheet_names=("Other",)))
-    spark.dataSource.register(workbook.Workbook)
-    rows = spark.read.format("one_column_workbook").load(str(path))
+    digest = workbook.validate(spark, str(path), Source())
+    assert digest == hashlib.sha256(path.read_bytes()).hexdigest().upper()
+    for source, message in ((Source(expected_sha256="00"), "SHA-256"), (Source(expected_sheet_names=("Other",)), "sheets"), (Source(column="other"), "header")):
+        with pytest.raises(ValueError, match=message):
+            workbook.validate(spark, str(path), source)
+    # A second column far below the first rows is found as well.
+    wide = tmp_path / "wide.xlsx"
+    with zipfile.ZipFile(path) as old, zipfile.ZipFile(wide, "w") as new:
+        for name in old.namelist():
+            new.writestr(name, old.read(name).decode().replace('<row r="6">', '<row r="6"><c r="B6" t="inlineStr"><is><t>x</t></is></c>'))
+    with pytest.raises(ValueError, match="more than one column"):
+        workbook.validate(spark, str(wide), Source())
+    rows = workbook.read(spark, str(path))
+    copy = str(tmp_path / "copy.xlsx")
+    workbook.write(spark, rows.orderBy("source_row_number").select("nombre_original"), copy, Source())
+    assert workbook.read(spark, copy).collect() == rows.collect()
     pre = preprocess.preprocess(rows, CONFIG, digest).orderBy("source_row_number").collect()
     assert [r.source_row_number for r in pre] == [2, 3, 4, 5, 6, 7]
     assert [r.route for r in pre] == [
@@ -231,7 +248,20 @@ def test_stages_from_command_line_and_second_run(spark, tmp_path):
     settings = tmp_path / "s.json"
     settings.write_text(json.dumps({"source": {"workbook": "table"}}))
     run = ["--root", root, "--settings", str(settings)]
+    # Missing references are an error, not an empty table.
+    assert cli.main([*run, "preprocess", "resolve"]) == 1 and not (tmp_path / "resolved").exists()
+    (tmp_path / "reference").mkdir()
+    (tmp_path / "reference" / "employer_master.csv").write_text("entity_id,canonical_name\n")
+    (tmp_path / "reference" / "employer_aliases.csv").write_text("entity_id,alias_name\n")
     assert cli.main([*run, "all"]) == 0
+    assert {f.name for f in (tmp_path / "output").iterdir()} >= {"employer_resolution_final.csv", "corporate_master.csv", "corporate_aliases.csv", "canonical_quality.csv", "top_keys.csv"}
+    for name, mark in (("employer_resolution_final", True), ("corporate_master", True), ("canonical_quality", False)):
+        part = next((tmp_path / "output" / f"{name}.csv").glob("part-*")).read_bytes()
+        assert part.startswith(b"\xef\xbb\xbf") == mark
+    metrics = json.loads((tmp_path / "metrics" / "employer_resolution_final.json").read_text())
+    assert metrics["rows"] == len(names) and sum(metrics["counters"]["resultado_final"].values()) == len(names)
+    assert sum(metrics["crosstabs"]["resultado_final x eligibility_status"].values()) == len(names)
+    assert "p50" in json.loads((tmp_path / "metrics" / "candidate_pair_features.json").read_text())["summaries"]["length_ratio"]
     final = {r.source_row_number: r for r in spark.read.parquet(f"{root}/employer_resolution_final").collect()}
     assert final[2].resultado_final == "EMPRESA_CANONICALIZADA_AUTO" and final[2].entity_id == final[3].entity_id == final[4].entity_id
     assert final[9].metodo_resolucion == "explicit_missing_information" and final[7].resultado_final == "NO_IDENTIFICABLE_DIRECCION"
@@ -244,6 +274,63 @@ def test_stages_from_command_line_and_second_run(spark, tmp_path):
     assert cli.main([*run, "--settings", str(tmp_path / "missing.json"), "resolve"]) == 1
 
 
+def test_a_bad_table_is_not_published(spark, tmp_path):
+    store = stages.Store(spark, str(tmp_path), CONFIG)
+    good = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    store.write(good, "numbers", "k")
+    with pytest.raises(ValueError, match="distinct keys"):
+        store.write(good.union(good), "numbers", "k")
+    assert store.read("numbers").count() == 2 and [f.name for f in tmp_path.iterdir() if f.name.startswith("numbers")] == ["numbers"]
+    with pytest.raises(ValueError, match="overwrite an input"):
+        store.write(good, "numbers", "k", inputs=("numbers",))
+
+
+def test_a_crash_between_the_steps_loses_nothing(spark, tmp_path, monkeypatch):
+    store = stages.Store(spark, str(tmp_path), CONFIG)
+    store.write(spark.createDataFrame([("a", 1)], "k string, n int"), "numbers", "k")
+    # The old table was set aside, the new one not yet put in its place.
+    (tmp_path / "numbers").rename(tmp_path / "numbers.former")
+    assert [tuple(r) for r in store.read("numbers").collect()] == [("a", 1)]
+    store.write(spark.createDataFrame([("b", 2)], "k string, n int"), "numbers", "k")
+    assert [tuple(r) for r in store.read("numbers").collect()] == [("b", 2)]
+    # Promotion that dies before the pointer moves leaves the references as they were.
+    one = spark.createDataFrame([("EMP-000001", "ACME")], files.MASTER)
+    for version, names in (("v1", one), ("v2", one.where("false"))):
+        files.write_csv(names, store.reference("employer_master", version), ["entity_id"])
+        files.write_csv(spark.createDataFrame([], files.ALIASES), store.reference("employer_aliases", version), ["alias_name"])
+        if version == "v1":
+            files.write_text(spark, version, f"{tmp_path}/reference/CURRENT")
+    assert store.references()[0].count() == 1
+    files.write_text(spark, "v2", f"{tmp_path}/reference/CURRENT")
+    assert store.references()[0].count() == 0
+
+
+def test_tables_that_disagree_are_not_assessed(spark):
+    shape = spark.createDataFrame([("A", "B", "A", "B", ["m"], "none", "e", 1)], "key_a string, key_b string, name_a string, name_b string, blocking_methods array<string>, numeric_relation string, orthographic_evidence string, shared_exact_token_count int")
+    rare = spark.createDataFrame([("A", "B", "A", "B", 1, 0, True, False)], "key_a string, key_b string, name_a string, name_b string, shared_exact_token_count int, shared_distinctive_token_count int, has_shared_exact_token boolean, has_shared_distinctive_token boolean")
+    scored = shape.select("key_a", "key_b", "name_a", "name_b", "blocking_methods", "numeric_relation")
+    spelled = shape.select("key_a", "key_b", "name_a", "name_b", "blocking_methods", "numeric_relation", "orthographic_evidence", F.lit("NEEDS_FURTHER_RESOLUTION").alias("orthographic_status"))
+    assert stages.consistent(shape, rare, scored, spelled).count() == 1
+    broken = (
+        (shape, rare, scored.withColumn("numeric_relation", F.lit("same")), spelled, "numeric_relation of f"), (shape, rare, scored.where("false"), spelled, "no features"),
+        (shape, rare, scored, spelled.withColumn("orthographic_evidence", F.lit("x")), "evidence"), (shape, rare, scored, spelled.withColumn("blocking_methods", F.array(F.lit("x"))), "blocking_methods of o"),
+        (shape, rare.withColumn("shared_exact_token_count", F.lit(2)), scored, spelled, "token counts"), (shape, rare.where("false"), scored, spelled, "disagree on key_a"),
+        (shape, rare.withColumn("has_shared_distinctive_token", F.lit(True)), scored, spelled, "overlap flags"), (shape, rare.withColumn("name_a", F.lit("Z")), scored, spelled, "identity"),
+    )
+    for *tables, message in broken:
+        with pytest.raises(Exception, match=message):
+            stages.consistent(*tables).collect()
+
+
+def test_weighted_summary_equals_repeated_rows(spark):
+    rng = random.Random(1)
+    rows = [(rng.randint(0, 40), rng.randint(0, 5)) for _ in range(200)]
+    found = profile.weighted_summary(spark.createDataFrame(rows, "v int, w int"), "v", "w").first()
+    full = sorted(v for v, w in rows for _ in range(w))
+    rank = lambda p: full[-(-len(full) * int(p * 100) // 100) - 1]
+    assert tuple(found) == (len(full), full[0], rank(0.5), rank(0.95), full[-1])
+
+
 def test_stream(spark, tmp_path):
     from namewright.streaming.incremental import resolve_stream
 
