@@ -223,25 +223,53 @@ def write_archives(
     return keep(rows.select("record_id", "url", "payload", "digest", "refers_to").mapInArrow(work, INDEX))
 
 
-def read_archives(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """All records of the bundles that the index names; length and digest are of the payload as read (of the header, for revisits)."""
+def read_archives(index: DataFrame, folder: str, with_payload: bool = True, part_bytes: int = 8 << 20) -> DataFrame:
+    """Every record of the index, read at its place: bundle, frame, offset and length.
+
+    Length and digest are of the payload as read (of the header, for revisits).  A bundle is one task's, which opens it once and
+    decompresses each frame once; a place that holds another record is an error.
+    """
+    names = [x.split()[0] for x in RECORD.split(", ")]
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
-        names = [x.split()[0] for x in RECORD.split(", ")]
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        source, opened, frames, place, data = None, None, [], None, b""
+        rows: list[tuple] = []
+        size = 0
+
+        def made() -> pa.RecordBatch:
+            nonlocal size
+            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+            rows.clear()
+            size = 0
+            return out
+
         for batch in batches:
-            for bundle in batch.column("bundle").to_pylist():
-                with fs.open_input_file(f"{path}/{bundle}") as source:
-                    for frame in read_seek_table(source):
-                        rows = []
-                        for _, _, i, url, kind, refers, n, digest, body in parse_records(read_frame(source, frame)):
-                            if kind == "response":
-                                n, digest = len(body), hashlib.sha1(body).hexdigest()
-                            rows.append((i, url, kind, refers, n, digest, body if with_payload else None))
-                        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
-
-    return index.select("bundle").distinct().mapInArrow(work, RECORD)
+            for record_id, bundle, frame, offset, length in zip(*(batch.column(c).to_pylist() for c in ("record_id", "bundle", "frame", "offset", "length")), strict=True):
+                if bundle != opened:
+                    if source is not None:
+                        source.close()
+                    source, opened = fs.open_input_file(f"{path}/{bundle}"), bundle
+                    frames, place = read_seek_table(source), None
+                if frame != place:
+                    data, place = read_frame(source, frames[frame]), frame
+                _, held, i, url, kind, refers, n, digest, body = next(parse_records(data[offset : offset + length]))
+                if held != length or i != record_id:
+                    raise ValueError(f"{bundle}: the index and frame {frame} disagree at {offset}")
+                if kind == "response":
+                    n, digest = len(body), hashlib.sha1(body).hexdigest()
+                rows.append((i, url, kind, refers, n, digest, body if with_payload else None))
+                size += length if with_payload else 200
+                if size >= part_bytes:
+                    yield made()
+        if source is not None:
+            source.close()
+        if rows:
+            yield made()
+
+    bundles = max(1, index.select("bundle").distinct().count())
+    return index.repartition(bundles, "bundle").sortWithinPartitions("bundle", "frame", "offset").mapInArrow(work, RECORD)
 
 
 def archive_roundtrip(pages: DataFrame, **options) -> DataFrame:
