@@ -81,6 +81,39 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op5, which SQL can check."""
+    return op5_pii(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in pii.BASE))
+
+
+def secrets_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op7, which SQL can check."""
+    return op7_secrets(spark, sf_dir).select("doc_id", *(f"n_{k}" for k in secrets.BASE))
+
+
+PII_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS (SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS mails,
+    list_transform(regexp_extract_all(t, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'), lambda m: string_split(m, '.')) AS ips,
+    list_transform(regexp_extract_all(t, '[0-9](?:[\x20-]?[0-9])+'), lambda m: regexp_replace(m, '[^0-9]', '', 'g')) AS cards,
+    list_transform(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g'))) AS phones FROM t)
+SELECT doc_id, CAST(len(mails) AS BIGINT) AS n_email,
+  CAST(len(list_filter(ips, lambda ps: len(list_filter(ps, lambda p: length(ltrim(p, '0')) > 3 OR coalesce(try_cast(p AS INT), 0) > 255)) = 0)) AS BIGINT) AS n_ip,
+  CAST(len(list_filter(cards, lambda d: length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(d) + 1),
+    lambda i: CAST(substr(d, length(d) + 1 - i, 1) AS INT) * (2 - i % 2) - 9 * CAST(CAST(substr(d, length(d) + 1 - i, 1) AS INT) * (2 - i % 2) > 9 AS INT))) % 10 = 0)) AS BIGINT) AS n_card,
+  CAST(len(list_filter(phones, lambda n: n BETWEEN 9 AND 15)) AS BIGINT) AS n_phone
+FROM f
+"""
+
+SECRETS_SQL = r"""
+SELECT doc_id,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1),
+    lambda v: length(v) >= 12)) AS BIGINT) AS n_assign,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda v: length(v) >= 18)) AS BIGINT) AS n_access,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda v: length(v) >= 16)) AS BIGINT) AS n_hex
+FROM documents
+"""
+
 OP4_SQL = """
 WITH q AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -145,6 +178,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_multi_index": op10_multi_index,
+    "pii_counts": pii_counts,
+    "secrets_counts": secrets_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_maxscore": OP4_SQL, "op6_jaccard_join": OP6_SQL, "op8_warc": OP8_SQL, "op10_multi_index": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_maxscore": OP4_SQL, "op6_jaccard_join": OP6_SQL, "op8_warc": OP8_SQL, "op10_multi_index": OP10_SQL, "pii_counts": PII_SQL, "secrets_counts": SECRETS_SQL}
