@@ -12,7 +12,8 @@ A region is joined around a document of its own: distances to that pivot are ver
 texts within t of it need no comparison with each other to be known as connected.  What is still
 apart is joined recursively: texts of a region in different classes, in blocks, by further pivots and
 their windows where these shrink the work, otherwise pair by pair as a matrix
-product inside the task, which writes links only.  Small regions (``FEW``) compare what differs in class
+product inside the task, which writes links only.  The largest class of a region is never compared with itself, so a group of copies
+costs its size times what differs from it.  Small regions (``FEW``) compare what differs in class
 directly.  Before two sets are compared, a coarser metric that never exceeds theirs (bucket counts) rules
 most pairs out.  Nothing is capped.
 
@@ -391,9 +392,8 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     several = members.join(heads.where("m > 2").select("region", "m"), "region")
     apart = several.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("region", "m", "doc", "n", F.coalesce("label", "doc").alias("label"))
     apart = keep(apart)
-    state = apart.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("m").alias("m"), F.sum("n").alias("all_n"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("all_n") / BLOCK_SHINGLES)).cast("int")
-    state = keep(state.where("lo < hi").select("region", blocks.alias("blocks")))
+    state = apart.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    state = keep(state.where("lo < hi").select("region"))
     apart = apart.join(state, "region")
     few = apart.where(F.col("m") <= FEW).select("region", "doc", "n", "label")
     x, y = few.alias("x"), few.alias("y")
@@ -401,8 +401,20 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     crossing = x.join(y, differ & sizes_fit(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.doc").alias("doc"), F.col("y.doc").alias("other")).distinct()
     links = links.unionByName(verified(docs, crossing, counts, width, percent))
 
-    many = apart.where(F.col("m") > FEW).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # In larger ones the members of the most frequent class need no comparison with each other: those of all other classes are
+    # dealt in blocks that meet everyone, those of that class in blocks that meet only the others.
+    large = keep(apart.where(F.col("m") > FEW).select("region", "doc", "n", "label"))
+    sizes = large.groupBy("region", "label").agg(F.count("*").alias("docs"), F.sum("n").alias("all_n"))
+    whole = sizes.groupBy("region").agg(F.max_by("label", F.struct("docs", "label")).alias("major"), F.max(F.struct("docs", "label", "all_n")).alias("top"), F.sum("docs").alias("docs"), F.sum("all_n").alias("all_n"))
+    blocks = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    whole = whole.select(
+        "region", "major", blocks(F.col("docs") - F.col("top.docs"), F.col("all_n") - F.col("top.all_n")).alias("others"), blocks(F.col("top.docs"), F.col("top.all_n")).alias("own")
+    )
+    many = large.join(whole, "region")
+    alike = F.col("label") == F.col("major")
+    block = F.when(alike, F.col("others") + F.pmod(F.xxhash64("doc"), "own")).otherwise(F.pmod(F.xxhash64("doc"), "others")).cast("int")
+    meets = F.sequence(F.lit(0), F.when(alike, F.col("others") - 1).otherwise(F.col("others") + F.col("own") - 1))
+    many = many.withColumn("block", block).withColumn("with", F.explode(meets))
     many = keep(many.select("region", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), (F.col("block") <= F.col("with")).alias("left"), "doc", "label"))
 
     def join(table: pa.Table) -> pa.Table:
@@ -418,7 +430,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     more = many.join(sets, "doc").groupBy("region", "i", "j").applyInArrow(join, "a long, b long")
     links = links.unionByName(keep(more.distinct()))
     labels = components(links)
-    drop(sets, counts, many, apart)
+    drop(sets, counts, many, large, apart)
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
