@@ -84,6 +84,11 @@ def token_support(cores: DataFrame) -> DataFrame:
     return cores.select(F.explode(F.array_distinct("core")).alias("token")).groupBy("token").agg(F.count("*").alias("support"))
 
 
+def _universe(keys: DataFrame, eligibility: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    cores = employer_cores(keys, eligibility, settings)
+    return cores, token_support(cores)
+
+
 def context_variants(cores: DataFrame, signatures: DataFrame) -> DataFrame:
     """(context_signature, context_variant_count): distinct tokens that fill the gap of each wanted signature."""
     gap = cores.select("core", F.posexplode("core").alias("i", "token"))
@@ -106,8 +111,11 @@ def edit_kind(a: Column, b: Column) -> tuple[Column, Column]:
     return kind, F.when(index == 0, "beginning").when(index == F.length(long) - 1, "end").otherwise("inside")
 
 
-def orthographic(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, settings: Settings) -> DataFrame:
-    """Evidence of a single one-letter edit, for pairs with key, name and numeric_relation."""
+def orthographic(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, settings: Settings, universe: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Evidence of a single one-letter edit, for pairs with key, name and numeric_relation.
+
+    ``universe``: employer cores and token support, if they are at hand.
+    """
     limits = settings.candidates
     status = eligibility.select("resolution_key", (F.col("eligibility_status") == "EMPLOYER_CANDIDATE").alias("ok"))
     df = pairs
@@ -146,8 +154,7 @@ def orthographic(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, sett
     gated = kept(df.withColumns({c: F.when(F.col("gate").isNull(), F.col(c)) for c in ("context", "context_signature")}))
     passed = gated.where("gate is null")
 
-    cores = employer_cores(keys, eligibility, settings)
-    support = token_support(cores)
+    cores, support = universe or _universe(keys, eligibility, settings)
     rare = passed.select("key_a", "key_b", F.explode("context").alias("token")).join(support, "token").groupBy("key_a", "key_b").agg(F.min("support").alias("rarest"))
     passed = passed.join(rare, ["key_a", "key_b"], "left").join(context_variants(cores, passed), "context_signature", "left")
     for s, token in (("a", "x"), ("b", "y")):
@@ -291,9 +298,9 @@ def residual(pairs: DataFrame, keys: DataFrame, settings: Settings) -> DataFrame
 # ---- rarity ------------------------------------------------------------------------------------------------------
 
 
-def distinctive(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, settings: Settings) -> DataFrame:
+def distinctive(pairs: DataFrame, keys: DataFrame, eligibility: DataFrame, settings: Settings, universe: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Exact token overlap of pairs and how rare it is in the employer universe; a shared token without support is an error."""
-    support = token_support(employer_cores(keys, eligibility, settings))
+    _, support = universe or _universe(keys, eligibility, settings)
     df = with_cores(pairs, settings).withColumn("shared", shared_tokens(F.col("core_a"), F.col("core_b")))
     one = df.select("key_a", "key_b", F.explode(F.array_distinct("shared")).alias("token")).join(support, "token", "left")
     one = one.withColumn("support", F.when(F.col("support").isNull(), F.raise_error(F.concat(F.lit("shared token without support: "), "token"))).otherwise(F.col("support")))

@@ -1,6 +1,6 @@
 """A feed of organisation-like names over the test tables.
 
-The tables hold no names, so part names and the first words of English documents stand in for them, with deterministic variants
+The tables hold no names, so part names and the opening words of all documents stand in for them, with deterministic variants
 by row: suffixes, digits, typos, doubled spaces, dashes, apostrophes, cut names, statuses, addresses and missing values.
 The expressions are SQL that both engines read.
 """
@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from namewright.config import Settings
-from namewright.functions.evidence import distinctive, multi_evidence, orthographic, residual
+from namewright.functions.evidence import distinctive, employer_cores, multi_evidence, orthographic, residual, token_support
 from namewright.functions.pairs import decide, features
 from namewright.operators import eligibility as eligible
 from namewright.operators import finalize as final
@@ -22,8 +22,9 @@ from namewright.operators.blocking import candidate_pairs
 from namewright.operators.graph import kept
 
 PART = "upper(p_name) || ' ' || p_type || ' ' || upper(p_brand)"
-#: Letters of the first words of a text; digits and punctuation part words.
-WORDS = "trim(regexp_replace(substr(upper(text), 1, 60), '[^A-Z]+', ' '{g}))"
+#: A document's name is its opening words: the letters of A to Z of its first sixty characters; all else parts words.  Only ASCII is
+#: turned into capitals, as the two engines differ on some other letters.
+WORDS = "trim(regexp_replace(upper(regexp_replace(substr(text, 1, 60), '[^ -~]+', ' '{g})), '[^A-Z]+', ' '{g}))"
 #: Variants by the remainder of id / 24, on a base name b.
 VARIANTS = (
     "b", "b || ' SA'", "b || ' S A'", "b || ' 7'", "substr(b, 1, 7) || substr(b, 9)", "replace(b, ' ', '  ')", "replace(b, ' ', '-')",
@@ -44,7 +45,7 @@ def feed_sql(spark: bool) -> str:
     return (
         "SELECT CAST(2 * id + plain + 2 AS BIGINT) AS source_row_number, CASE CASE WHEN plain = 1 THEN 0 ELSE CAST(id % 24 AS INT) END "
         + cases.replace("STRING", kind) + " END AS nombre_original FROM ("
-        f"SELECT 2 * p_partkey AS id, {PART} AS b FROM part UNION ALL SELECT 2 * doc_id + 1 AS id, {words} AS b FROM documents WHERE lang = 'en') AS base "
+        f"SELECT 2 * p_partkey AS id, {PART} AS b FROM part UNION ALL SELECT 2 * doc_id + 1 AS id, {words} AS b FROM documents) AS base "
         "CROSS JOIN (SELECT 0 AS plain UNION ALL SELECT 1) AS twice WHERE plain = 0 OR id % 3 <> 0"
     )
 
@@ -53,8 +54,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the files that the linkage queries read: what is remembered of a folder holds while these do."""
+    out = []
+    for name in ("part", "documents", "supplier"):
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in store.listStatus(where) if store.exists(where) else ():
+            out.append((f.getPath().getName(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(feed_sql(True).replace("FROM part ", "FROM {part} ").replace("FROM documents ", "FROM {documents} "), part=table(spark, sf_dir, "part"), documents=table(spark, sf_dir, "documents"))
+    return spark.sql(feed_sql(True).replace("FROM part ", "FROM {part} ").replace("FROM documents)", "FROM {documents})"), part=table(spark, sf_dir, "part"), documents=table(spark, sf_dir, "documents"))
 
 
 #: The check's SQL of the references, for keys below a million; :func:`master_references` has no such bound.
@@ -115,9 +127,14 @@ class Run:
     def eligibility(self) -> DataFrame:
         return eligible.classify(self.stage("preprocessed"), self.stage("keys"), self.settings)
 
+    def universe(self) -> tuple[DataFrame, DataFrame]:
+        """Employer cores and the support of their tokens."""
+        cores = kept(employer_cores(self.stage("keys"), self.stage("eligibility"), self.settings))
+        return cores, kept(token_support(cores))
+
     def orthographic(self) -> DataFrame:
         open_pairs = kept(self.stage("decisions").where("decision_status <> 'AUTO_SAME'").select("key_a", "key_b", "name_a", "name_b", "numeric_relation"))
-        return kept(orthographic(open_pairs, self.stage("keys"), self.stage("eligibility"), self.settings))
+        return kept(orthographic(open_pairs, self.stage("keys"), self.stage("eligibility"), self.settings, self.stage("universe")))
 
     def further(self) -> DataFrame:
         return self.stage("orthographic").where("orthographic_status = 'NEEDS_FURTHER_RESOLUTION'").select("key_a", "key_b", "name_a", "name_b", "numeric_relation", "orthographic_evidence")
@@ -127,7 +144,7 @@ class Run:
 
     def distinctive(self) -> DataFrame:
         pairs = self.stage("further").select("key_a", "key_b", "name_a", "name_b")
-        return distinctive(pairs, self.stage("keys"), self.stage("eligibility"), self.settings)
+        return distinctive(pairs, self.stage("keys"), self.stage("eligibility"), self.settings, self.stage("universe"))
 
     def assessed(self) -> DataFrame:
         rare = self.stage("distinctive").drop("name_a", "name_b", "shared_exact_token_count")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namewright.operators import finalize, stages
-from namewright.plans.feed import CONFIG, alias_references, feed, master_references, table
+from namewright.plans.feed import CONFIG, alias_references, feed, master_references, state_of, table
 from namewright.sources import files, workbook
 from namewright.sources.shared import shared_dir
 
@@ -84,11 +84,11 @@ class Project:
         return found.select("counter", F.explode("values").alias("value", "n"))
 
 
-_projects: dict[tuple[str, str], Project] = {}
+_projects: dict[tuple, Project] = {}
 
 
 def project_of(spark: SparkSession, sf_dir: str) -> Project:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, state_of(spark, sf_dir))
     if key not in _projects:
         _projects[key] = Project(spark, sf_dir)
     return _projects[key]

@@ -12,19 +12,19 @@ from namewright.functions.pairs import features
 from namewright.operators import blocking, finalize, graph, master, preprocess, profile, sampling
 from namewright.plans import oracle
 from namewright.plans import project as _project
-from namewright.plans.feed import CONFIG, Run, alias_references, feed, master_references
+from namewright.plans.feed import CONFIG, Run, alias_references, feed, master_references, state_of
 from namewright.plans.project import Project, marked_sql, over_suppliers, project_of, strange_sql, workbook_rows
 from namewright.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_runs: dict[tuple[str, str], Run] = {}
+_runs: dict[tuple, Run] = {}
 
 
 def run_of(spark: SparkSession, sf_dir: str) -> Run:
-    """Stages are shared by the queries of one application over one folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Stages are shared by the queries of one application over one folder, as long as its files stay as they are."""
+    key = (spark.sparkContext.applicationId, sf_dir, state_of(spark, sf_dir))
     if key not in _runs:
         _runs[key] = Run(spark, sf_dir)
     return _runs[key]
