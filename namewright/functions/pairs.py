@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +45,10 @@ def numeric_relation(a: Column, b: Column) -> Column:
 # ---- string ratios: an Arrow kernel, as Spark has no longest common subsequence ---------------------------------
 
 
+#: Pairs of strings compared at a time, and the longest string whose positions fit the bits of a word.
+TOGETHER, BITS = 512, 63
+
+
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, bit-parallel over ``a``."""
     places: dict[str, int] = {}
@@ -57,39 +62,123 @@ def lcs(a: str, b: str) -> int:
     return len(a) - state.bit_count()
 
 
-def ratio(a: str, b: str) -> float:
-    total = len(a) + len(b)
-    return 200.0 * lcs(a, b) / total if total else 100.0
+def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of texts as rows, zeros behind them, and their lengths."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros((len(texts), int(size.max(initial=0))), np.uint32)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return out, size
 
 
-def token_set_ratio(a: str, b: str) -> float:
+def lcs_windows(short: list[str], long: list[str], owner: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Longest common subsequences of ``short[owner]`` and the windows ``long[owner][start : start + size]``.
+
+    All windows walk together: bit i of a window's state stands for character i of its short text, which has at most BITS.
+    """
+    a, n = codes(short)
+    b, _ = codes(long)
+    if not a.shape[1] or not b.shape[1] or not len(owner):
+        return np.zeros(len(owner), np.int64)
+    bit = np.uint64(1) << np.arange(a.shape[1], dtype=np.uint64)
+    inside = np.arange(a.shape[1]) < n[:, None]
+    hits = np.zeros(b.shape, np.uint64)  # where each character of the long text occurs in the short one
+    for i in range(a.shape[1]):
+        hits |= np.where((b == a[:, i : i + 1]) & inside[:, i : i + 1], bit[i], np.uint64(0))
+    full = (np.uint64(1) << n[owner].astype(np.uint64)) - np.uint64(1)
+    state = full.copy()
+    order = np.argsort(-size, kind="stable")  # those still walking are always the first ones
+    owner_, start_, state, full_ = owner[order], start[order], state[order], full[order]
+    live = np.searchsorted(-size[order], -np.arange(1, int(size.max()) + 1), side="right")
+    for j, k in enumerate(live.tolist()):
+        now = state[:k]
+        hit = now & hits[owner_[:k], start_[:k] + j]
+        state[:k] = ((now + hit) | (now - hit)) & full_[:k]
+    out = np.empty(len(owner), np.int64)
+    out[order] = n[owner_] - np.bitwise_count(state).astype(np.int64)
+    return out
+
+
+def ratio_of(common: np.ndarray, total: np.ndarray) -> np.ndarray:
+    return np.where(total > 0, 200.0 * common / np.maximum(total, 1), 100.0)
+
+
+def ratios_of(a: list[str], b: list[str]) -> np.ndarray:
+    """200 * common subsequence / both lengths of each pair of strings."""
+    la, lb = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+    short = [x if len(x) <= len(y) else y for x, y in zip(a, b, strict=True)]
+    long = [y if len(x) <= len(y) else x for x, y in zip(a, b, strict=True)]
+    fits = np.flatnonzero(np.minimum(la, lb) <= BITS)
+    common = np.zeros(len(a), np.int64)
+    common[fits] = lcs_windows([short[i] for i in fits], [long[i] for i in fits], np.arange(len(fits)), np.zeros(len(fits), np.int64), np.maximum(la, lb)[fits])
+    for i in np.flatnonzero(np.minimum(la, lb) > BITS).tolist():
+        common[i] = lcs(short[i], long[i])
+    return ratio_of(common, la + lb)
+
+
+def token_sets(a: str, b: str) -> tuple[str, str, str, bool, bool]:
+    """Shared tokens, each side's shared and own tokens, whether one side has no own token, whether one has none at all."""
     x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
     both, only_x, only_y = " ".join(sorted(x & y)), " ".join(sorted(x - y)), " ".join(sorted(y - x))
-    if both and (not only_x or not only_y):
-        return 100.0
     join = lambda rest: f"{both} {rest}" if both else rest
-    best = ratio(join(only_x), join(only_y))
-    if both:
-        for rest in (only_x, only_y):
-            best = max(best, 200.0 * len(both) / (len(both) + len(join(rest))))
-    return best
+    return both, join(only_x), join(only_y), bool(both) and (not only_x or not only_y), not x or not y
+
+
+def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """The best of the ratios between shared tokens and each side's shared and own tokens."""
+    made = [token_sets(x, y) for x, y in zip(a, b, strict=True)]
+    shared, left, right = (np.array([len(m[k]) for m in made], float) for k in range(3))
+    best = ratios_of([m[1] for m in made], [m[2] for m in made])
+    for side in (left, right):
+        best = np.maximum(best, np.where(shared > 0, 200.0 * shared / np.maximum(shared + side, 1), 0.0))
+    return np.where([m[4] for m in made], 0.0, np.where([m[3] for m in made], 100.0, best))
+
+
+def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """The best ratio of the shorter text and a window of the longer one of its length, or a shorter one at an end; of equally
+    long texts in both directions."""
+    out = np.zeros(len(a))
+    rows, short, long = [], [], []
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        if len(x) > len(y):
+            x, y = y, x
+        if not x:
+            out[i] = 0.0 if y else 100.0
+            continue
+        for s, t in ((x, y), (y, x))[: 1 + (len(x) == len(y))]:
+            rows.append(i)
+            short.append(s)
+            long.append(t)
+    if not rows:
+        return out
+    n, m = (np.fromiter(map(len, x), np.int64, len(x)) for x in (short, long))
+    count = 2 * (n - 1) + m - n + 1
+    owner = np.repeat(np.arange(len(rows)), count)
+    k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    no, mo = n[owner], m[owner]
+    # First the windows at the beginning that are shorter, then those of full length, then the shorter ones at the end.
+    head, middle = k < no - 1, k < mo
+    size = np.where(head, k + 1, np.where(middle, no, no + mo - 1 - k))
+    start = np.where(head, 0, np.where(middle, k - no + 1, mo - size))
+    fits = n <= BITS
+    common = np.zeros(len(owner), np.int64)
+    some = np.flatnonzero(fits[owner])
+    common[some] = lcs_windows([s if f else "" for s, f in zip(short, fits.tolist(), strict=True)], long, owner[some], start[some], size[some])
+    for w in np.flatnonzero(~fits[owner]).tolist():
+        common[w] = lcs(short[owner[w]], long[owner[w]][start[w] : start[w] + size[w]])
+    np.maximum.at(out, np.array(rows)[owner], ratio_of(common, no + size))
+    return out
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text and a window of the longer one of its length, or a shorter one at an end."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 100.0 if not b else 0.0
+def ratio(a: str, b: str) -> float:
+    return float(ratios_of([a], [b])[0])
 
-    def against(s: str, t: str) -> float:
-        n, m = len(s), len(t)
-        windows = [t[:k] for k in range(1, n)] + [t[i : i + n] for i in range(m - n + 1)] + [t[m - k :] for k in range(1, n)]
-        return max(ratio(s, w) for w in windows)
 
-    return max(against(a, b), against(b, a)) if len(a) == len(b) else against(a, b)
+def token_set_ratio(a: str, b: str) -> float:
+    return float(token_set_ratios([a], [b])[0])
+
+
+def partial_ratio(a: str, b: str) -> float:
+    return float(partial_ratios([a], [b])[0])
 
 
 RATIOS = StructType([StructField(n, DoubleType()) for n in ("char_ratio", "token_sort_ratio", "token_set_ratio", "partial_ratio")])
@@ -97,14 +186,13 @@ RATIOS = StructType([StructField(n, DoubleType()) for n in ("char_ratio", "token
 
 @F.pandas_udf(RATIOS)
 def ratios(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    ordered = lambda s: " ".join(sorted(s.split()))
-    return pd.DataFrame(
-        [
-            (round(ratio(x, y), 6), round(ratio(ordered(x), ordered(y)), 6), round(token_set_ratio(x, y), 6), round(partial_ratio(x, y), 6))
-            for x, y in zip(a, b, strict=True)
-        ],
-        columns=RATIOS.names,
-    )
+    made = []
+    for at in range(0, len(a), TOGETHER):
+        x, y = a.iloc[at : at + TOGETHER].tolist(), b.iloc[at : at + TOGETHER].tolist()
+        ordered = [[" ".join(sorted(s.split())) for s in side] for side in (x, y)]
+        made.append(np.stack([ratios_of(x, y), ratios_of(*ordered), token_set_ratios(x, y), partial_ratios(x, y)], axis=1))
+    found = np.concatenate(made) if made else np.zeros((0, 4))
+    return pd.DataFrame([[round(v, 6) for v in row] for row in found.tolist()], columns=RATIOS.names)
 
 
 def features(pairs: DataFrame, with_ratios: bool = True) -> DataFrame:

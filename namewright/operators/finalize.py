@@ -20,6 +20,20 @@ FINAL = (
     "canonical_resolution_key", "component_key_count", "component_source_row_count", "decision_rules", "public_entity_id",
     "public_source_url", "public_validation_date", "route", "route_reason",
 )
+# Outcomes, and the texts shown for them.
+PUBLIC, AUTOMATIC, NORMALIZED = "EMPRESA_VALIDADA_PUBLICAMENTE", "EMPRESA_CANONICALIZADA_AUTO", "EMPRESA_NORMALIZADA_SIN_VALIDACION_PUBLICA"
+NO_ADDRESS, NO_INFORMATION = "NO_IDENTIFICABLE_DIRECCION", "NO_IDENTIFICABLE_FALTA_INFORMACION"
+ADDRESS_NAME, NO_NAME = "No identificable - Direcciones", "No identificable - Falta informacion"
+NO_SECTOR, NOT_APPLICABLE = "No determinado", "No aplica"
+METHODS = ("explicit_missing_information", "record_typing_address", "public_reference_and_deterministic_component", "deterministic_auto_same_component", "normalized_employer_key", "precision_first_abstention")
+SECTOR_FOUND, SECTOR_NOT_FOUND = "Sector inferido por palabras clave exactas: ", "Sector no asignado sin evidencia suficiente."
+REUSED_PUBLIC = "Identidad reutilizada por referencia exacta persistente y enriquecida con la fuente pública validada."
+REUSED = "Identidad reutilizada por referencia exacta persistente. "
+SAID_MISSING = "El valor normalizado corresponde explícitamente a ausencia de información y no se interpreta como empleador."
+SAID_ADDRESS = "El registro contiene evidencia de dirección y no se atribuye a una empresa."
+SAID_PUBLIC = "Identidad y sector validados en fuente pública; propagación limitada a claves aprobadas y equivalencias AUTO_SAME."
+SAID_LINKED, SAID_ALONE = "Equivalencia textual determinista AUTO_SAME. ", "Se conserva la clave normalizada sin enlace determinista. "
+SAID_NOTHING = "La evidencia no permite identificar una empresa con precisión suficiente; el proceso se abstiene."
 
 
 def is_missing(name: Column) -> Column:
@@ -30,7 +44,7 @@ def sector(name: Column, sectors: dict[str, tuple[str, ...]]) -> Column:
     """struct(sector, method, evidence) of the first sector with a keyword among the name's tokens."""
     toks = F.regexp_extract_all(F.upper(name), F.lit("([A-Z0-9]+)"))
     kind = "struct<sector:string,method:string,evidence:string>"
-    out = F.struct(F.lit("No determinado").alias("sector"), F.lit("not_determined").alias("method"), F.lit(None).cast("string").alias("evidence")).cast(kind)
+    out = F.struct(F.lit(NO_SECTOR).alias("sector"), F.lit("not_determined").alias("method"), F.lit(None).cast("string").alias("evidence")).cast(kind)
     for label, keywords in reversed(list(sectors.items())):
         hit = F.array_sort(F.array_intersect(toks, words(keywords)))
         made = F.struct(F.lit(label).alias("sector"), F.lit("keyword_taxonomy").alias("method"), F.array_join(hit, "|").alias("evidence")).cast(kind)
@@ -180,40 +194,30 @@ def finalize(resolved: DataFrame, eligibility: DataFrame, parts: DataFrame, reus
             out = F.when(condition, value).otherwise(out)
         return out
 
-    found = F.when(x["sector_method"] == "keyword_taxonomy", F.concat(lit("Sector inferido por palabras clave exactas: "), x["sector_evidence"], lit("."))).otherwise(
-        "Sector no asignado sin evidencia suficiente."
+    found = F.when(x["sector_method"] == "keyword_taxonomy", F.concat(lit(SECTOR_FOUND), x["sector_evidence"], lit("."))).otherwise(
+        SECTOR_NOT_FOUND
     )
     e_public = c("e.public_entity_id").isNotNull()
     known = F.when(c("eligibility_status").isNotNull(), c("name"))
-    none = "No identificable - Falta informacion"
     result = {
         "resolution_key": by_case(c("name"), known, known, c("name"), c("name"), c("name"), known),
         "entity_id": x["entity_id"],
-        "nombre_propuesto": by_case(c("e.canonical_name"), none, "No identificable - Direcciones", *[c("k.canonical_name")] * 3, none),
-        "sector_propuesto": F.coalesce(x["sector"], lit("No aplica")),
+        "nombre_propuesto": by_case(c("e.canonical_name"), NO_NAME, ADDRESS_NAME, *[c("k.canonical_name")] * 3, NO_NAME),
+        "sector_propuesto": F.coalesce(x["sector"], lit(NOT_APPLICABLE)),
         "metodo_sector": F.coalesce(x["sector_method"], lit("not_applicable")),
         "sector_evidence": x["sector_evidence"],
         "resultado_final": by_case(
-            F.when(e_public, "EMPRESA_VALIDADA_PUBLICAMENTE").otherwise("EMPRESA_CANONICALIZADA_AUTO"), "NO_IDENTIFICABLE_FALTA_INFORMACION", "NO_IDENTIFICABLE_DIRECCION",
-            "EMPRESA_VALIDADA_PUBLICAMENTE", "EMPRESA_CANONICALIZADA_AUTO", "EMPRESA_NORMALIZADA_SIN_VALIDACION_PUBLICA", "NO_IDENTIFICABLE_FALTA_INFORMACION",
+            F.when(e_public, PUBLIC).otherwise(AUTOMATIC), NO_INFORMATION, NO_ADDRESS, PUBLIC, AUTOMATIC, NORMALIZED, NO_INFORMATION,
         ),
         "confianza_resolucion": by_case("ALTA", "ALTA", F.when(c("eligibility_status") == "ADDRESS", "ALTA").otherwise("MEDIA"), "ALTA", "ALTA", "MEDIA", "BAJA"),
         "score_confianza_resolucion": by_case(F.when(e_public, 100).otherwise(92), 100, 100, 100, 92, 60, 40).cast("int"),
         "confianza_sector": F.coalesce(x["sector_confidence"], lit("NO_APLICA")),
         "metodo_resolucion": by_case(
-            F.concat(lit("exact_reference_"), F.replace("resolution_method", lit("exact_"), lit(""))), "explicit_missing_information", "record_typing_address",
-            "public_reference_and_deterministic_component", "deterministic_auto_same_component", "normalized_employer_key", "precision_first_abstention",
+            F.concat(lit("exact_reference_"), F.replace("resolution_method", lit("exact_"), lit(""))), *METHODS,
         ),
         "explicacion": by_case(
-            F.when(e_public, "Identidad reutilizada por referencia exacta persistente y enriquecida con la fuente pública validada.").otherwise(
-                F.concat(lit("Identidad reutilizada por referencia exacta persistente. "), found)
-            ),
-            "El valor normalizado corresponde explícitamente a ausencia de información y no se interpreta como empleador.",
-            "El registro contiene evidencia de dirección y no se atribuye a una empresa.",
-            "Identidad y sector validados en fuente pública; propagación limitada a claves aprobadas y equivalencias AUTO_SAME.",
-            F.concat(lit("Equivalencia textual determinista AUTO_SAME. "), found),
-            F.concat(lit("Se conserva la clave normalizada sin enlace determinista. "), found),
-            "La evidencia no permite identificar una empresa con precisión suficiente; el proceso se abstiene.",
+            F.when(e_public, REUSED_PUBLIC).otherwise(F.concat(lit(REUSED), found)), SAID_MISSING, SAID_ADDRESS, SAID_PUBLIC,
+            F.concat(lit(SAID_LINKED), found), F.concat(lit(SAID_ALONE), found), SAID_NOTHING,
         ),
         "canonical_resolution_key": x["canonical_resolution_key"],
         "component_key_count": F.coalesce(x["component_key_count"], lit(0)),

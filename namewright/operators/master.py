@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from namewright.operators.preprocess import checked
 
+# Statuses of outcomes, and methods of exact reuse.
 STATUS = {"EMPRESA_VALIDADA_PUBLICAMENTE": "PUBLIC_VALIDATED", "EMPRESA_CANONICALIZADA_AUTO": "AUTO_CANONICALIZED", "EMPRESA_NORMALIZADA_SIN_VALIDACION_PUBLICA": "NORMALIZED_CANDIDATE"}
 EXACT = ("exact_reference_alias", "exact_reference_canonical")
 SINGLE = (

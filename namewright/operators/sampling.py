@@ -21,6 +21,8 @@ PAIR_STRATA = (
     "numeric_conflict", "trailing_numeric", "high_token_set_low_char", "truncation_or_subset", "multi_method", "truncation_block",
     "informative_token_only", "short_or_sparse_names", "low_similarity_retrieved", "very_high_char", "high_char", "medium_char",
 )
+#: Bounds of the pair strata: similarities, the ratio of lengths, characters of a short name.
+SAME_TOKENS, FEW_SHARED, CONTAINED, UNEVEN, SHORT_NAME, LOW, MEDIUM, HIGH, VERY_HIGH = 95, 80, 99, 0.85, 8, 60, 80, 90, 97
 AUDIT_STRATA = ("possible_truncation", "ambiguous_review", "high_frequency", "numeric_name", "short_name", "ordinary_employer", "other")
 
 
@@ -73,16 +75,16 @@ def pair_stratum() -> Column:
     checks = (
         c("numeric_relation") == "conflict",
         F.array_contains(methods, "trailing_numeric") & (c("numeric_relation") == "one_sided"),
-        (c("token_set_ratio") >= 95) & (c("char_ratio") < 80),
-        (c("partial_ratio") >= 99) & (c("length_ratio") < 0.85),
+        (c("token_set_ratio") >= SAME_TOKENS) & (c("char_ratio") < FEW_SHARED),
+        (c("partial_ratio") >= CONTAINED) & (c("length_ratio") < UNEVEN),
         c("blocking_method_count") >= 2,
         F.array_contains(methods, "truncation_prefix"),
         methods == F.array(F.lit("informative_token")),
-        (size(lambda n: F.length(n)) <= 8) | (size(lambda n: F.size(tokens(F.col(n)))) <= 1),
-        c("char_ratio") < 60,
-        c("char_ratio") >= 97,
-        (c("char_ratio") >= 90) & (c("char_ratio") < 97),
-        (c("char_ratio") >= 80) & (c("char_ratio") < 90),
+        (size(lambda n: F.length(n)) <= SHORT_NAME) | (size(lambda n: F.size(tokens(F.col(n)))) <= 1),
+        c("char_ratio") < LOW,
+        c("char_ratio") >= VERY_HIGH,
+        (c("char_ratio") >= HIGH) & (c("char_ratio") < VERY_HIGH),
+        (c("char_ratio") >= MEDIUM) & (c("char_ratio") < HIGH),
     )
     return first_true(dict(zip(PAIR_STRATA, checks, strict=True)), F.lit(None).cast("string"))
 

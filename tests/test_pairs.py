@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namewright.config import Candidates, Settings
-from namewright.functions import evidence
+from namewright.functions import evidence, pairs
 from namewright.functions.pairs import decide, features, lcs, partial_ratio, ratio, token_set_ratio
 from namewright.operators import blocking
 from namewright.operators.eligibility import street_address
@@ -186,3 +186,34 @@ def test_contradictory_evidence_fails(spark):
     names = "primary_family string, numeric_relation string, shared_exact_token_count int, shared_distinctive_token_count int, has_shared_distinctive_token boolean, has_multiple_shared_distinctive_tokens boolean, shorter_name_exact_coverage double, shorter_name_distinctive_coverage double, orthographic_evidence string"
     with pytest.raises(Exception, match="contradictory"):
         evidence.multi_evidence(spark.createDataFrame([row], names)).collect()
+
+
+def plain_ratio(a, b):
+    """By the table of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return 200.0 * row[-1] / (len(a) + len(b)) if a or b else 100.0
+
+
+def plain_partial(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if not a:
+        return 0.0 if b else 100.0
+    best = 0.0
+    for s, t in ((a, b), (b, a))[: 1 + (len(a) == len(b))]:
+        n = len(s)
+        best = max(best, *(plain_ratio(s, w) for w in {t[:k] for k in range(1, n)} | {t[i : i + n] for i in range(len(t) - n + 1)} | {t[-k:] for k in range(1, n)}))
+    return best
+
+
+def test_batched_ratios_equal_plain_ones():
+    rng = random.Random(0)
+    words = ["ACME", "BANCO", "SA", "S", "A", "GENERAL", "ÑANDU", "X1", "HOLDING"]
+    a, b = ([" ".join(rng.choices(words, k=rng.randint(0, 5))) for _ in range(150)] + extra for extra in (["LONG " * 20, "", "AB"], ["LONGER " * 13, "", "BA"]))
+    close = lambda x, y: all(abs(p - q) < 1e-9 for p, q in zip(x.tolist(), y, strict=True))
+    assert close(pairs.ratios_of(a, b), map(plain_ratio, a, b)) and close(pairs.partial_ratios(a, b), map(plain_partial, a, b))
+    assert pairs.token_set_ratios(["A B", "A B C", "", "X"], ["B A", "C Q", "A", "Y"]).tolist() == [100.0, 50.0, 0.0, 0.0]
