@@ -387,11 +387,12 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     spokes = members.join(heads, "region").where(F.col("doc") != F.col("other")).where(sizes_fit(F.col("n"), F.col("other_n"), percent))
     links = verified(docs, spokes.select("doc", "other").distinct(), counts, width, percent)
     labels = components(links)
+    made = [reps, members, heads, counts, links, labels]
 
     # Round 2: what is still apart in regions of three and more.
     several = members.join(heads.where("m > 2").select("region", "m"), "region")
     apart = several.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("region", "m", "doc", "n", F.coalesce("label", "doc").alias("label"))
-    apart = keep(apart)
+    apart = apart_ = keep(apart)
     state = apart.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     state = keep(state.where("lo < hi").select("region"))
     apart = apart.join(state, "region")
@@ -399,15 +400,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     x, y = few.alias("x"), few.alias("y")
     differ = (F.col("x.region") == F.col("y.region")) & (F.col("x.doc") > F.col("y.doc")) & (F.col("x.label") != F.col("y.label"))
     crossing = x.join(y, differ & sizes_fit(F.col("x.n"), F.col("y.n"), percent)).select(F.col("x.doc").alias("doc"), F.col("y.doc").alias("other")).distinct()
-    links = links.unionByName(verified(docs, crossing, counts, width, percent))
+    made.append(verified(docs, crossing, counts, width, percent))
+    links = links.unionByName(made[-1])
 
     # In larger ones the members of the most frequent class need no comparison with each other: those of all other classes are
-    # dealt in blocks that meet everyone, those of that class in blocks that meet only the others.
-    large = keep(apart.where(F.col("m") > FEW).select("region", "doc", "n", "label"))
+    # dealt in blocks that meet everyone, those of that class in blocks that meet only the others.  Classes are those of all links so far.
+    joined = components(links)
+    large = apart.where(F.col("m") > FEW).select("region", "doc", "n").join(joined.withColumnRenamed("node", "doc"), "doc", "left")
+    large = keep(large.select("region", "doc", "n", F.coalesce("label", "doc").alias("label")))
     sizes = large.groupBy("region", "label").agg(F.count("*").alias("docs"), F.sum("n").alias("all_n"))
     whole = sizes.groupBy("region").agg(F.max_by("label", F.struct("docs", "label")).alias("major"), F.max(F.struct("docs", "label", "all_n")).alias("top"), F.sum("docs").alias("docs"), F.sum("all_n").alias("all_n"))
     blocks = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
-    whole = whole.select(
+    whole = whole.where(F.col("docs") > F.col("top.docs")).select(
         "region", "major", blocks(F.col("docs") - F.col("top.docs"), F.col("all_n") - F.col("top.all_n")).alias("others"), blocks(F.col("top.docs"), F.col("top.all_n")).alias("own")
     )
     many = large.join(whole, "region")
@@ -428,11 +432,14 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
 
     sets = keep(chosen_rows(docs, many.select("doc").distinct(), width, packed, "binary"))
     more = many.join(sets, "doc").groupBy("region", "i", "j").applyInArrow(join, "a long, b long")
-    links = links.unionByName(keep(more.distinct()))
+    made += [keep(more.distinct()), sets, many, large, apart_, state]
+    drop(joined)
+    links = links.unionByName(made[-6])
     labels = components(links)
-    drop(sets, counts, many, large, apart)
+    made.append(labels)
     named = reps.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("fp", F.coalesce("label", "doc").alias("component_id"))
     named = keep(named)
+    drop(*made)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     found = own.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return found if extra is None else found.withColumnRenamed("doc_id", "row").join(extra, "row")
