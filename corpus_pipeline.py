@@ -67,5 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir))
+        before, docs = docs, keep(stage(spark, docs, sf_dir))
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
