@@ -38,7 +38,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     chosen = keep(groups.groupBy("component_id").agg(first).select(F.col("first.row").alias("__row")))
     drop(groups)
-    return keyed.join(chosen, "__row", "left_semi").select(*docs.columns)
+    # The chosen rows grow with the table, so they are never broadcast; the join is of one kind at every size.
+    return keyed.join(chosen.hint("merge"), "__row", "left_semi").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
