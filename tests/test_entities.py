@@ -376,3 +376,13 @@ def test_references_of_large_part_tables(spark, tmp_path):
     }
     index = preprocess.exact_index(feed.master_references(spark, str(tmp_path)), feed.alias_references(spark, str(tmp_path)))
     assert {r.entity_id for r in index.collect()} == set(found.values())
+
+
+def test_each_distinct_name_is_typed_once(spark):
+    rows = spark.createDataFrame([(2, "ACME SA"), (3, "ACME SA"), (4, None), (5, None), (6, "")], "source_row_number long, nombre_original string")
+    df = preprocess.preprocess(rows, CONFIG)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [nombre_original" in plan.split("Join", 1)[1]
+    found = {r.source_row_number: (r.nombre_normalizado, r.route) for r in df.collect()}
+    assert len(found) == 5 == df.count() and found[2] == found[3] == ("ACME SA", "employer_resolution_candidate")
+    assert found[4] == found[5] == (None, "blank_candidate") and found[6] == ("", "blank_candidate")
