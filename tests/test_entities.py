@@ -386,3 +386,15 @@ def test_each_distinct_name_is_typed_once(spark):
     found = {r.source_row_number: (r.nombre_normalizado, r.route) for r in df.collect()}
     assert len(found) == 5 == df.count() and found[2] == found[3] == ("ACME SA", "employer_resolution_candidate")
     assert found[4] == found[5] == (None, "blank_candidate") and found[6] == ("", "blank_candidate")
+
+
+def test_a_project_runs_the_stages_that_a_query_needs(spark, sf):
+    from namewright.operators import stages
+    from namewright.plans.project import Project
+
+    assert list(stages.NEEDS) == list(stages.STAGES)
+    project = Project(spark, sf)
+    project.upto("evaluation-sample")
+    assert project.done == ["preprocess", "evaluation-sample"]
+    project.upto("decide-pairs")
+    assert project.done == ["preprocess", "evaluation-sample", "resolve", "candidates", "score-candidates", "decide-pairs"]
