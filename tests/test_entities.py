@@ -398,3 +398,32 @@ def test_a_project_runs_the_stages_that_a_query_needs(spark, sf):
     assert project.done == ["preprocess", "evaluation-sample"]
     project.upto("decide-pairs")
     assert project.done == ["preprocess", "evaluation-sample", "resolve", "candidates", "score-candidates", "decide-pairs"]
+
+
+@pytest.fixture
+def as_planned(spark):
+    """Joins shuffle both sides and keep the tasks that they were planned with."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_rows_without_name_or_exact_id_are_no_single_task(spark, as_planned):
+    names = [(k, None if k % 2 else f"ACME {k}") for k in range(2, 402)]
+    rows = preprocess.preprocess(spark.createDataFrame(names, "source_row_number long, nombre_original string"), CONFIG)
+    index = preprocess.exact_index(*(spark.createDataFrame([("EMP-000001", n)], f"entity_id string, {c} string") for n, c in (("ACME 2", "canonical_name"), ("ACME 4", "alias_name"))))
+    resolved = preprocess.resolve(rows, index)
+    status = eligible(spark, [n for _, n in names if n and n not in ("ACME 2", "ACME 4")])
+    keys = preprocess.resolution_keys(resolved)
+    parts = finalize.components(keys, status, decisions_of(spark, [("ACME 6", "ACME 8")]), CONFIG)
+    final = finalize.finalize(resolved, status, parts, finalize.exact_reuse(resolved, CONFIG))
+    sizes = [r.n for r in final.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 400 and max(sizes) < 200
+    found = {r.source_row_number: (r.resultado_final, r.entity_id, r.nombre_normalizado) for r in final.collect()}
+    assert found[2] == (finalize.AUTOMATIC, "EMP-000001", "ACME 2") and found[4] == (finalize.AUTOMATIC, "EMP-000001", "ACME 4")
+    assert found[6][0] == found[8][0] == finalize.AUTOMATIC and found[6][1] == found[8][1] != found[10][1]
+    assert found[10][0] == finalize.NORMALIZED and found[3] == (finalize.NO_INFORMATION, None, None)
