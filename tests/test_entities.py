@@ -427,3 +427,33 @@ def test_rows_without_name_or_exact_id_are_no_single_task(spark, as_planned):
     assert found[2] == (finalize.AUTOMATIC, "EMP-000001", "ACME 2") and found[4] == (finalize.AUTOMATIC, "EMP-000001", "ACME 4")
     assert found[6][0] == found[8][0] == finalize.AUTOMATIC and found[6][1] == found[8][1] != found[10][1]
     assert found[10][0] == finalize.NORMALIZED and found[3] == (finalize.NO_INFORMATION, None, None)
+
+
+def test_master_compares_the_rows_of_an_entity_without_multiplying_them(spark):
+    schema = (
+        "record_id string, entity_id string, resolution_key string, metodo_resolucion string, nombre_propuesto string, sector_propuesto string, resultado_final string, confianza_resolucion string, "
+        "score_confianza_resolucion int, canonical_resolution_key string, component_key_count int, component_source_row_count long, public_entity_id string, public_source_url string, public_validation_date string"
+    )
+
+    def row(i, key="ACME", method="deterministic_auto_same_component", name="ACME", keys=2, public=None, url="u", day="2024-01-15"):
+        outcome = "EMPRESA_CANONICALIZADA_AUTO" if public is None else "EMPRESA_VALIDADA_PUBLICAMENTE"
+        return (str(i), "ENT-1", key, method, name, "s", outcome, "ALTA", 92, "ACME", keys, 3, public, url if public else None, day if public else None)
+
+    made = lambda *rows: master.corporate_master(spark.createDataFrame(list(rows), schema))
+    good = made(row(1), row(2), row(3, "ACME SA"))
+    assert "Expand" not in good._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.canonical_name, r.resolution_method, r.component_key_count, r.source_row_count) for r in good.collect()] == [("ACME", "deterministic_auto_same_component", 2, 3)]
+    reused = made(*(row(i, method=m, name="ACME", keys=1) for i, m in enumerate(("exact_reference_alias", "exact_reference_canonical", "exact_reference_alias"))))
+    assert reused.first().resolution_method == "reference_exact_reuse"
+    for bad in (
+        (row(1), row(2), row(3, "ACME SA", name="OTHER")),
+        (row(1), row(2), row(3, "ACME SA", name=None)),
+        (row(1), row(2), row(3, "ACME SA", method="normalized_employer_key")),
+        (row(1), row(2), row(3, "ACME SA", method="exact_reference_alias")),
+        (row(1), row(2), row(3)),
+        (row(1), row(2, "ACME SA")),
+        (row(1, public="PUB-000001"), row(2, public="PUB-000001"), row(3, "ACME SA", public="PUB-000002")),
+        (row(1, public="PUB-000001"), row(2, public="PUB-000001"), row(3, "ACME SA", public="PUB-000001", day=None)),
+    ):
+        with pytest.raises(Exception, match="contradictory rows of entity ENT-1"):
+            made(*bad).collect()
