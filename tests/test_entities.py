@@ -457,3 +457,57 @@ def test_master_compares_the_rows_of_an_entity_without_multiplying_them(spark):
     ):
         with pytest.raises(Exception, match="contradictory rows of entity ENT-1"):
             made(*bad).collect()
+
+
+def test_stages_that_wait_for_nothing_run_side_by_side(spark, sf, monkeypatch):
+    import threading
+
+    from namewright.operators import stages
+    from namewright.plans.project import Project
+
+    meeting, order = threading.Barrier(2, timeout=30), []
+    for name in stages.STAGES:
+        meets = name in ("score-candidates", "classify-eligibility")
+        monkeypatch.setitem(stages.STAGES, name, lambda s, n=name, m=meets: (m and meeting.wait(), order.append(n)))
+    monkeypatch.setattr(Project, "begin", lambda self: order.append("begin"))
+    project = Project(spark, sf)
+    project.upto("assess-evidence")
+    assert order[:4] == ["begin", "preprocess", "resolve", "candidates"] and set(order[4:6]) == {"score-candidates", "classify-eligibility"}
+    assert order[6:] == ["decide-pairs", "resolve-orthographic", "profile-residuals", "compute-distinctive-evidence", "assess-evidence"]
+    assert sorted(project.done) == sorted(order[1:])
+
+
+def test_steps_side_by_side_end_before_an_error_is_raised(spark):
+    from namewright.sources.shared import together
+
+    ended = []
+
+    def fail():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        together(spark, fail, lambda: ended.append(spark.range(10).count()))
+    assert ended == [10] and together(spark, lambda: 1, lambda: 2) == [1, 2]
+
+
+def test_keys_are_compared_where_their_hashes_do_not_settle_it(spark, monkeypatch):
+    from namewright.operators import stages
+
+    df = lambda *rows: spark.createDataFrame(rows, "a string, b string")
+    assert stages.key_counts(df(("x", "y"), ("xy", ""), ("", "xy")), "a", "b") == (3, 3, 0)
+    assert stages.key_counts(df(("x", "y"), ("x", "y"), ("x", None), (None, "z")), "a", "b") == (4, 1, 2)
+    monkeypatch.setattr(stages.F, "xxhash64", lambda *c: F.lit(1))
+    assert stages.key_counts(df(("x", "y"), ("xy", ""), ("", "xy")), "a", "b") == (3, 3, 0)
+
+
+def test_counters_and_cross_tabs_are_one_pass_over_the_combinations(spark, monkeypatch):
+    monkeypatch.setitem(profile.COUNTED, "t", ("a", "b"))
+    monkeypatch.setitem(profile.CROSSED, "t", (("a", "c"),))
+    monkeypatch.setitem(profile.SUMMED, "t", ("n", "c"))
+    df = spark.createDataFrame([("x", True, 1, 5.0), ("x", None, 2, 1.0), (None, True, 1, 2.0), ("", False, 1, 2.0)], "a string, b boolean, c int, n double")
+    made = profile.metrics("t", df)
+    assert made["counters"] == {"a": {"x": 2, "": 2}, "b": {"true": 2, "": 1, "false": 1}} and made["crosstabs"] == {"a x c": {"x|1": 1, "x|2": 1, "|1": 2}}
+    assert made["summaries"] == {c: profile.interpolated(df, c).first().asDict() for c in ("n", "c")} and made["summaries"]["n"]["p50"] == 2.0
+    # The rows are not multiplied: they are grouped before values are taken apart.
+    plan = profile.combinations("t", df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Aggregate [")

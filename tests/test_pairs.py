@@ -217,3 +217,15 @@ def test_batched_ratios_equal_plain_ones():
     close = lambda x, y: all(abs(p - q) < 1e-9 for p, q in zip(x.tolist(), y, strict=True))
     assert close(pairs.ratios_of(a, b), map(plain_ratio, a, b)) and close(pairs.partial_ratios(a, b), map(plain_partial, a, b))
     assert pairs.token_set_ratios(["A B", "A B C", "", "X"], ["B A", "C Q", "A", "Y"]).tolist() == [100.0, 50.0, 0.0, 0.0]
+
+
+def test_windows_at_the_ends_of_a_text_share_a_walk(monkeypatch):
+    walked, calls, windows, alone = [], [], pairs.lcs_windows, pairs.lcs
+    monkeypatch.setattr(pairs, "lcs_windows", lambda s, t, owner, start, size: walked.append(int(size.sum())) or windows(s, t, owner, start, size))
+    monkeypatch.setattr(pairs, "lcs", lambda s, t: calls.append(len(t)) or alone(s, t))
+    # Of texts of n and m characters, only the m - n + 1 windows of full length walk on their own, in each direction if both are equally long.
+    assert pairs.partial_ratios(["ABCDEFGH" * 5], ["XBCDEFGH" * 5 + "Y"])[0] > 80 and sum(walked) == 2 * 40
+    assert pairs.partial_ratios(["ABCDEFGH" * 9], ["XBCDEFGH" * 9])[0] > 80 and sum(calls) == 2 * 72
+    # A window that begins before the text or ends behind it can be the best one.
+    for a, b in (("BCDX", "QQABCD"), ("XABC", "ABCQQQ"), ("BCDX" * 20, "Q" * 90 + "BCDX" * 10), ("A", "B"), ("AB", "B")):
+        assert pairs.partial_ratios([a], [b])[0] == pytest.approx(plain_partial(a, b), abs=1e-9)
